@@ -88,10 +88,5 @@ def distinct_text(items: Column) -> Column:
     return F.array_join(F.array_sort(F.collect_set(items)), ",")
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """``part / whole`` rounded half up to two places; 0.0 where there is no whole."""
-    return F.when(whole > 0, F.round(part / whole, 2)).otherwise(F.lit(0.0))
-
-
 def pair_text(first: Column, second: Column) -> Column:
     return F.concat_ws("_", first.cast("string"), second.cast("string"))

@@ -105,26 +105,24 @@ def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-def _in_class(length: str, first: int, last: int | None) -> Column:
-    value = F.col(length)
-    return value >= first if last is None else value.between(first, last)
+def _class_count(length: str, name: str, first: int, last: int | None) -> Column:
+    upper = "" if last is None else f" and {length} <= {last}"
+    return F.expr(f"count_if({length} >= {first}{upper}) as {name}")
 
 
 def session_bucket_counts(sessions: DataFrame) -> DataFrame:
     """One row: the number of sessions, in all and in every length class."""
-    counts = [F.count_if(_in_class(length, first, last)).alias(name)
-              for length, classes in (("visit_length", VISIT_CLASSES),
-                                      ("step_length", STEP_CLASSES))
-              for name, first, last in classes]
+    counts = [_class_count("visit_length", *visit) for visit in VISIT_CLASSES]
+    counts += [_class_count("step_length", *step) for step in STEP_CLASSES]
     return sessions.agg(F.count(F.lit(1)).alias("session_count"), *counts)
 
 
 def session_ratio(bucket_counts: DataFrame, task_id: str) -> DataFrame:
-    """The share of every length class, to two places; all 0.0 where no session is left."""
-    return bucket_counts.select(
-        F.lit(task_id).alias("taskid"), "session_count",
-        *[C.ratio(F.col(name), F.col("session_count")).alias(f"{name}_ratio")
-          for name in CLASS_NAMES])
+    """The share of every length class, rounded half up to two places; all 0.0 where no session
+    is left."""
+    shares = [F.expr(f"coalesce(round(try_divide({name}, session_count), 2), 0d) as {name}_ratio")
+              for name in CLASS_NAMES]
+    return bucket_counts.select(F.lit(task_id).alias("taskid"), "session_count", *shares)
 
 
 def session_hour_counts(sessions: DataFrame) -> DataFrame:

@@ -20,12 +20,19 @@ SETTINGS = {
 }
 
 
+# Fixed at the start of an application, unlike the settings above.
+STATIC_SETTINGS = {
+    # Spares a look at the Python stack for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def build_session(app_name: str = "clickloom", master: str | None = None,
                   overrides: dict[str, str] | None = None) -> SparkSession:
-    """A session with :data:`SETTINGS`, some of them overridden."""
+    """A session with the settings above, some of them overridden."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(overrides or {})}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **(overrides or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

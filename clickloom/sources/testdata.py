@@ -1,97 +1,75 @@
 """The input tables derived from the shared test data (TPC-H-like tables and an event table).
 
-The same formulas, in SQL, are in ``clickloom.registry.oracle``.
+The same formulas, for another engine, are in ``clickloom.registry.oracle``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+# The columns that are read (fixed: the schemas of the given files). Naming them spares Spark a
+# look into the files before every query.
+_SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, props string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_size int",
+}
 
 # 2024-01-01 00:00:00 UTC, the first day of the events.
 _EPOCH = 1704067200
-_DAY = 86400
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     # Days and times are those of UTC, whatever the session was set to.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def _choose(number: Column, values: dict[int, int], default: int) -> Column:
-    chosen = F
-    for key, value in values.items():
-        chosen = chosen.when(number == key, value)
-    return chosen.otherwise(default)
-
-
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"),
-        F.get_json_object("props", "$.k").cast("long").alias("k"))
-
-
-def _text(column: Column) -> Column:
-    return column.cast("string")
+    return spark.read.schema(_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user, k = F.col("user_id"), F.col("k")
-    kind = F.col("event_type")
-    events = (
-        _events(spark, sf_dir)
-        .withColumn("es", F.unix_seconds("ts"))
-        .withColumn("span", _choose(user % 10, {0: 30, 1: 10, 2: 5}, 1) * _DAY)
-        .withColumn("pace", _choose(user % 5, {0: 1, 1: 10, 2: 100, 3: 1000}, 10000))
-        .withColumn("seg", F.floor((F.col("es") - _EPOCH) / F.col("span")))
-        .withColumn("base", F.col("seg") * F.col("span") + _EPOCH)
-        .withColumn("action_time", F.timestamp_seconds(
-            F.col("base") + (user % 24) * 3600
-            + F.floor((F.col("es") - F.col("base")) / F.col("pace")))))
-    clicked = kind == "click"
-    return events.select(
-        F.to_date("action_time").alias("date"),
-        "user_id",
-        F.concat(F.lit("s"), _text(user), F.lit("-"), _text(F.col("seg"))).alias("session_id"),
-        ((F.col("event_id") * 7 + user) % 10).alias("page_id"),
+    timed = _read(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "event_type", "cast(get_json_object(props, '$.k') as long) as k",
+        "unix_seconds(cast(ts as timestamp)) as es",
+        "case user_id % 10 when 0 then 30 when 1 then 10 when 2 then 5 else 1 end * 86400 as span",
+        "case user_id % 5 when 0 then 1 when 1 then 10 when 2 then 100 when 3 then 1000 "
+        "else 10000 end as pace")
+    placed = timed.selectExpr(
+        "event_id", "user_id", "event_type", "k", f"(es - {_EPOCH}) div span as seg",
+        f"timestamp_seconds({_EPOCH} + ((es - {_EPOCH}) div span) * span + (user_id % 24) * 3600"
+        f" + ((es - {_EPOCH}) % span) div pace) as action_time")
+    return placed.selectExpr(
+        "to_date(action_time) as date", "user_id",
+        "concat('s', user_id, '-', seg) as session_id",
+        "(event_id * 7 + user_id) % 10 as page_id",
         "action_time",
-        F.when(kind == "signup", F.concat(F.lit("kw"), _text(k % 12))).alias("search_keyword"),
-        F.when(clicked, k).otherwise(-1).alias("click_category_id"),
-        F.when(clicked, (k * 7 + F.col("event_id")) % 100).otherwise(-1)
-        .alias("click_product_id"),
-        F.when(kind == "error", F.concat(_text(k), F.lit(","),
-                                         _text((k + F.col("event_id") % 2) % 100)))
-        .alias("order_category_ids"),
-        F.when(kind == "error", _text(k * 3 % 100)).alias("order_product_ids"),
-        F.when(kind == "purchase", _text(k)).alias("pay_category_ids"),
-        F.when(kind == "purchase", _text(k * 3 % 100)).alias("pay_product_ids"),
-        (F.col("event_id") % 11).alias("city_id"))
+        "case when event_type = 'signup' then concat('kw', k % 12) end as search_keyword",
+        "case when event_type = 'click' then k else -1 end as click_category_id",
+        "case when event_type = 'click' then (k * 7 + event_id) % 100 else -1 end"
+        " as click_product_id",
+        "case when event_type = 'error' then concat(k, ',', (k + event_id % 2) % 100) end"
+        " as order_category_ids",
+        "case when event_type = 'error' then cast(k * 3 % 100 as string) end"
+        " as order_product_ids",
+        "case when event_type = 'purchase' then cast(k as string) end as pay_category_ids",
+        "case when event_type = 'purchase' then cast(k * 3 % 100 as string) end"
+        " as pay_product_ids",
+        "event_id % 11 as city_id")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _read(spark, sf_dir, "customer").where(key % 37 != 5).select(
-        key.alias("user_id"),
-        F.concat(F.lit("user"), _text(key)).alias("username"),
-        F.col("c_name").alias("name"),
-        (key * 7 % 43 + 18).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.concat(F.lit("city"), _text(F.col("c_nationkey"))).alias("city"),
-        F.when(key % 2 == 0, "male").otherwise("female").alias("sex"))
+    return _read(spark, sf_dir, "customer").where("c_custkey % 37 <> 5").selectExpr(
+        "c_custkey as user_id", "concat('user', c_custkey) as username", "c_name as name",
+        "cast(18 + c_custkey * 7 % 43 as int) as age", "c_mktsegment as professional",
+        "concat('city', c_nationkey) as city",
+        "case when c_custkey % 2 = 0 then 'male' else 'female' end as sex")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    return _read(spark, sf_dir, "part").where(key % 13 != 5).select(
-        key.alias("product_id"),
-        F.concat("p_name", F.lit(" "), _text(key)).alias("product_name"),
-        F.concat(F.lit('{"product_status": '), _text(F.col("p_size") % 2),
-                 F.lit("}")).alias("extend_info"))
+    return _read(spark, sf_dir, "part").where("p_partkey % 13 <> 5").selectExpr(
+        "p_partkey as product_id", "concat(p_name, ' ', p_partkey) as product_name",
+        """concat('{"product_status": ', p_size % 2, '}') as extend_info""")
 
 
 def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user = F.col("user_id")
-    parts = (F.unix_millis("ts"), user % 10, user % 10, user, F.col("k") % 4)
-    return _events(spark, sf_dir).select(
-        F.concat_ws(" ", *[_text(part) for part in parts]).alias("value"))
+    return _read(spark, sf_dir, "events").selectExpr(
+        "concat_ws(' ', unix_millis(cast(ts as timestamp)), user_id % 10, user_id % 10, user_id,"
+        " cast(get_json_object(props, '$.k') as long) % 4) as value")

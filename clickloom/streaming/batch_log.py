@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -43,10 +43,10 @@ class BatchLog:
         """
         spark = rows.sparkSession
         staging, final = self._staging_path(batch_id), self._batch_path(batch_id)
-        rows.select(self.schema.names).write.mode("overwrite").parquet(staging)
-        if storage.exists(spark, final):
-            return
-        if keep_empty or not spark.read.schema(self.schema).parquet(staging).isEmpty():
+        written = Observation()
+        (rows.select(self.schema.names).observe(written, F.count(F.lit(1)).alias("rows"))
+         .write.mode("overwrite").parquet(staging))
+        if (keep_empty or written.get["rows"]) and not storage.exists(spark, final):
             storage.rename(spark, staging, final)
 
     def read(self, spark: SparkSession) -> DataFrame:

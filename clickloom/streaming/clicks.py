@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.sources import storage
-from clickloom.sources.adlog import observe_lines, parse_ad_log
+from clickloom.sources.adlog import parse_ad_log
 from clickloom.streaming import batch_log
 from clickloom.streaming.batch_log import BatchLog
 
@@ -100,9 +100,9 @@ def start_admission(lines: DataFrame, tables: AdTables,
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         barred = tables.blacklist.rows(batch.sparkSession)
-        tables.admitted.append(ads.drop_blacklisted(batch, barred), batch_id, keep_empty=False)
+        tables.admitted.append(ads.drop_blacklisted(batch, barred), batch_id)
 
-    return _start(parse_ad_log(observe_lines(lines)), "ad_admission", tables, write, trigger, mode="append")
+    return _start(parse_ad_log(lines, "ad_log"), "ad_admission", tables, write, trigger, mode="append")
 
 
 def _daily(clicks: DataFrame, delay: str) -> DataFrame:

@@ -66,8 +66,11 @@ def non_empty(text: Column) -> Column:
     return F.when(text != "", text)
 
 
-def city_label(city_id: Column, city_name: Column) -> Column:
-    return F.concat(city_id.cast("string"), F.lit(":"), city_name)
+def city_list(city_id: Column, city_name: Column) -> Column:
+    """Aggregate: the distinct cities of a group, by id, as ``id:name`` comma text."""
+    cities = F.array_sort(F.collect_set(F.struct(city_id.alias("id"), city_name.alias("name"))))
+    return F.array_join(
+        F.transform(cities, lambda city: F.concat(city["id"], F.lit(":"), city["name"])), ",")
 
 
 def area_level(area: Column) -> Column:
@@ -83,10 +86,5 @@ def product_status(extend_info: Column) -> Column:
     return F.when(own, "self").otherwise("others")
 
 
-def distinct_text(items: Column) -> Column:
-    """Aggregate: the distinct values of a group, sorted, as comma text."""
-    return F.array_join(F.array_sort(F.collect_set(items)), ",")
-
-
 def pair_text(first: Column, second: Column) -> Column:
     return F.concat_ws("_", first.cast("string"), second.cast("string"))

@@ -26,11 +26,10 @@ def area_product_counts(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     """
     per_city = (clicks.groupBy("city_id", F.col("click_product_id").alias("product_id"))
                 .agg(F.count(F.lit(1)).alias("clicks")))
-    label = C.city_label(F.col("city_id"), F.col("city_name"))
     return (per_city.join(cities, "city_id", "inner")
             .groupBy("area", "product_id")
             .agg(F.sum("clicks").alias("click_count"),
-                 C.distinct_text(label).alias("city_infos")))
+                 C.city_list(F.col("city_id"), F.col("city_name")).alias("city_infos")))
 
 
 def area_product_info(counts: DataFrame, products: DataFrame) -> DataFrame:

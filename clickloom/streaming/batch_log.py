@@ -96,9 +96,12 @@ def replace_groups(rows: DataFrame, path: str, log: BatchLog, groups: list[str],
     """Replace whole groups of a table that is partitioned by them.
 
     The new rows are committed to ``log`` before the partitions are overwritten, so a replay after
-    a failure in between repeats the same overwrite.
+    a failure in between repeats the same overwrite. Every group is a small file of its own, so
+    the rows are spread to have the files created in parallel.
     """
+    spark = rows.sparkSession
     log.append(rows, batch_id)
-    (log.batch(rows.sparkSession, batch_id)
+    (log.batch(spark, batch_id)
+     .repartition(spark.sparkContext.defaultParallelism, *groups)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*groups).parquet(path))

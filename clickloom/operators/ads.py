@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 BLACKLIST_THRESHOLD = 100
 TOP_ADS = 3
 
+# Minutes of the recent-hour window.
+_HOUR = 60
+
 
 def ad_user_daily_clicks(clicks: DataFrame) -> DataFrame:
     """Clicks per day, user and ad."""
@@ -83,13 +86,25 @@ def ad_click_trend(counts: DataFrame) -> DataFrame:
 
 
 def ad_recent_hour(counts: DataFrame) -> DataFrame:
-    """Clicks per ad in the 60 minutes before every full minute.
+    """Clicks per ad in every 60 minutes that start on a full minute and hold a click.
 
-    Works on minute counts, so what the sliding window multiplies by 60 is one row per minute and
-    ad, not the clicks.
+    A minute's clicks are in the 60 windows that start up to it. Instead of 60 rows a minute gives
+    two: its clicks enter with the first of these windows and leave after the last. The running
+    sum per ad then is the content of every window; it changes only at these rows, and in between
+    it is repeated. An ad has at most two such rows per minute, however many clicks it drew.
     """
-    return (counts
-            .groupBy(F.window("minute_start", "60 minutes", "1 minute").alias("w"), "adid")
-            .agg(F.sum("clickCount").alias("clickCount"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+    minute = F.expr("unix_seconds(minute_start) div 60")
+    changes = (counts
+               .select("adid", F.inline(F.array(
+                   F.struct((minute - (_HOUR - 1)).alias("first"), F.col("clickCount").alias("n")),
+                   F.struct((minute + 1).alias("first"), (-F.col("clickCount")).alias("n")))))
+               .groupBy("adid", "first").agg(F.sum("n").alias("n")))
+    by_ad = Window.partitionBy("adid").orderBy("first")
+    return (changes
+            .withColumn("clickCount", F.sum("n").over(by_ad))
+            .withColumn("next", F.lead("first").over(by_ad))
+            .where(F.col("clickCount") > 0)
+            .select("adid", "clickCount", F.explode(F.expr("sequence(first, next - 1)")).alias("m"))
+            .select(F.expr("timestamp_seconds(m * 60)").alias("window_start"),
+                    F.expr(f"timestamp_seconds((m + {_HOUR}) * 60)").alias("window_end"),
                     "adid", "clickCount"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.functions.partitioning import forget_partitioning
+
 BLACKLIST_THRESHOLD = 100
 TOP_ADS = 3
 
@@ -17,6 +19,17 @@ def ad_user_daily_clicks(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy("date", "userid", "adid").agg(F.count(F.lit(1)).alias("clickCount"))
 
 
+def add_stored(counts: DataFrame, stored: DataFrame) -> DataFrame:
+    """Running totals of the keys in ``counts``: what a table has stored so far, plus the counts.
+
+    For totals kept in a table; a streaming query has them in its state.
+    """
+    keys = ["date", "userid", "adid"]
+    before = stored.select(*keys, F.col("clickCount").alias("before"))
+    total = F.col("clickCount") + F.coalesce("before", F.lit(0))
+    return counts.join(before, keys, "left").select(*keys, total.alias("clickCount"))
+
+
 def over_threshold(user_counts: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
     """Users who clicked one ad at least ``threshold`` times on one day."""
     return user_counts.where(F.col("clickCount") >= threshold).select("userid").distinct()
@@ -29,7 +42,8 @@ def ad_blacklist(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> Dat
 
 def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Clicks of users who are not on the blacklist."""
-    return clicks.join(blacklist.select("userid"), "userid", "left_anti").select(clicks.columns)
+    barred = forget_partitioning(blacklist.select("userid"))
+    return clicks.join(barred, "userid", "left_anti").select(clicks.columns)
 
 
 def ad_clicks_admitted(clicks: DataFrame,
@@ -47,7 +61,7 @@ def ad_clicks_admitted(clicks: DataFrame,
               .agg(F.min("date").alias("barred_after")))
     is_barred = ((F.col("userid") == F.col("barred_userid"))
                  & (F.col("date") > F.col("barred_after")))
-    return clicks.join(barred, is_barred, "left_anti")
+    return clicks.join(forget_partitioning(barred), is_barred, "left_anti")
 
 
 def ad_region_counts(clicks: DataFrame) -> DataFrame:

@@ -59,20 +59,24 @@ def page_pairs(runs: DataFrame) -> DataFrame:
             .where(F.col("next_page_id").isNotNull() & (F.col("pair_count") > 0)))
 
 
-def flow_steps(spark: SparkSession, params: TaskParams) -> DataFrame:
-    """The flow as rows (step, page_id, next_page_id), from the parameters.
-
-    Step -1 stands for arriving at the first page and has no next page.
-    """
+def _flow(params: TaskParams) -> list[tuple[int, int, int | None]]:
+    """The flow as (step, page, next page). Step -1 stands for arriving at the first page."""
     flow = params.page_flow
-    steps = [(-1, flow[0], "null")] if flow else []
-    steps += [(i, page, f"{following}L") for i, (page, following)
-              in enumerate(zip(flow, flow[1:]))]
-    if not steps:
-        return spark.createDataFrame([], "step int, page_id long, next_page_id long")
-    values = ", ".join(f"({i}, {page}L, cast({following} as bigint))"
-                       for i, page, following in steps)
-    return spark.sql(f"select * from values {values} as flow(step, page_id, next_page_id)")
+    arrival = [(-1, flow[0], None)] if flow else []
+    return arrival + [(i, *pair) for i, pair in enumerate(zip(flow, flow[1:]))]
+
+
+def _inline(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """Rows of the parameters as an inline table: its size is known, so joins broadcast it."""
+    def text(value):
+        return "cast(null as bigint)" if value is None else f"{int(value)}L"
+
+    # A row of zeros gives the types, also where there are no other rows.
+    zeros = (0,) * len(columns.split(","))
+    values = ", ".join(f"({', '.join(map(text, row))}, {real})"
+                       for row, real in [(zeros, "false"), *((row, "true") for row in rows)])
+    return spark.sql(f"select {columns} from values {values} as t({columns}, is_real) "
+                     "where is_real")
 
 
 def _flow_pairs(runs: DataFrame, params: TaskParams) -> DataFrame:
@@ -86,7 +90,8 @@ def _flow_pairs(runs: DataFrame, params: TaskParams) -> DataFrame:
                  (F.col("visits") > 1).alias("counts")),
         F.struct(none.alias("next_page_id"), arrivals.alias("n"),
                  arrivals.isNotNull().alias("counts")))
-    wanted = flow_steps(runs.sparkSession, params).select("page_id", "next_page_id").distinct()
+    wanted = _inline(runs.sparkSession, list(dict.fromkeys(row[1:] for row in _flow(params))),
+                     "page_id, next_page_id")
     counted = runs.select("page_id", F.inline(events)).where("counts")
     return (_on_pair(counted, wanted, "left_semi")
             .groupBy("page_id", "next_page_id").agg(F.sum("n").alias("pair_count")))
@@ -116,7 +121,7 @@ def page_conversion(actions: DataFrame, params: TaskParams) -> DataFrame:
     0.0 where the step or the one before never happened. The window runs over the steps of the
     flow, which is a parameter.
     """
-    steps = flow_steps(actions.sparkSession, params)
+    steps = _inline(actions.sparkSession, _flow(params), "step, page_id, next_page_id")
     counts = _flow_pairs(page_runs(actions), params)
     counted = (_on_pair(steps, counts, "left")
                .select("step", steps["page_id"], steps["next_page_id"],
@@ -124,7 +129,8 @@ def page_conversion(actions: DataFrame, params: TaskParams) -> DataFrame:
     before = F.lag("pair_count").over(Window.partitionBy(F.lit(1)).orderBy("step"))
     return (counted.withColumn("before", before)
             .where(F.col("step") >= 0)
-            .select("step", "page_id", "next_page_id", "pair_count",
+            .select(F.col("step").cast("int").alias("step"), "page_id", "next_page_id",
+                    "pair_count",
                     F.when(F.col("before") > 0, F.col("pair_count") / F.col("before"))
                     .otherwise(F.lit(0.0)).alias("rate")))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import columns as C
+from clickloom.functions.partitioning import forget_partitioning
 from clickloom.params import TaskParams
 
 # Length classes as (name, first, last) in whole seconds and in actions, both ends included
@@ -102,7 +103,8 @@ def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     A semi join, so no column of the sessions travels along; where one session holds a large share
     of the actions, AQE splits its partition on the actions' side.
     """
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    kept = forget_partitioning(sessions.select("session_id"))
+    return actions.join(kept, "session_id", "left_semi")
 
 
 def _class_count(length: str, name: str, first: int, last: int | None) -> Column:

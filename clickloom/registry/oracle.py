@@ -342,6 +342,10 @@ _SELECTS = {
     "ad_log_parsed": f"select {_CLICK_COLUMNS} from clicks",
     "ad_clicks_admitted": _ADMITTED,
     "ad_user_daily_clicks": _USER_CLICKS,
+    "ad_running_totals": f"""
+        select {_DAY}, userid, adid, clicks as "clickCount" from user_counts_all
+        where (date, userid, adid) in (select (date, userid, adid) from clicks
+                                       where hour(click_time) >= 12)""",
     "ad_blacklist": _BLACKLIST,
     "ad_region_counts": _REGIONS,
     "ad_province_counts":

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom import sinks
+from clickloom import schemas, sinks
 from clickloom.functions import columns as C
 from clickloom.operators import ads, areas, categories, funnel, sampling, sessions
 from clickloom.params import TaskParams
@@ -19,7 +19,6 @@ from clickloom.registry.replay import ad_stream
 from clickloom.sources import adlog, storage, tables, testdata
 from clickloom.streaming import batch_log, clicks as streams
 from clickloom.streaming.batch_log import BatchLog
-from clickloom import schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -284,6 +283,18 @@ def ad_user_daily_clicks(spark, sf_dir):
     return _date_text(ads.ad_user_daily_clicks(_admitted(spark, sf_dir)))
 
 
+def _is_morning():
+    return F.hour("click_time") < NOON
+
+
+@_query
+def ad_running_totals(spark, sf_dir):
+    clicks = _clicks(spark, sf_dir)
+    stored = ads.ad_user_daily_clicks(clicks.where(_is_morning()))
+    counts = ads.ad_user_daily_clicks(clicks.where(~_is_morning()))
+    return _date_text(ads.add_stored(counts, stored))
+
+
 @_query
 def ad_blacklist(spark, sf_dir):
     return ads.ad_blacklist(_clicks(spark, sf_dir), THRESHOLD)
@@ -337,10 +348,6 @@ def _new_log(spark: SparkSession, name: str, schema) -> BatchLog:
     return BatchLog(storage.new_run_dir(spark, name), schema).create(spark)
 
 
-def _is_morning():
-    return F.hour("click_time") < NOON
-
-
 @_query
 def sink_upsert_add(spark, sf_dir):
     clicks = _clicks(spark, sf_dir)

@@ -1,10 +1,8 @@
-"""Batch sinks: whole tables, as files, catalog tables or JDBC tables."""
+"""Batch sinks: whole tables, as files or catalog tables (databases: ``sources.jdbc``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-JDBC_CONNECTIONS = 10
+from pyspark.sql import DataFrame
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
@@ -20,25 +18,3 @@ def recreate_catalog_table(df: DataFrame, name: str, path: str | None = None) ->
     """Drop and re-create a catalog table, at ``path`` if given."""
     df.sparkSession.sql(f"drop table if exists {name}")
     df.write.mode("overwrite").saveAsTable(name, format="parquet", path=path)
-
-
-def jdbc_options(url: str, table: str, user: str, password: str) -> dict[str, str]:
-    return {
-        "url": url, "dbtable": table, "user": user, "password": password,
-        # Keep the table's own definition on overwrite.
-        "truncate": "true",
-        # Spark merges the partitions down to this many before it connects.
-        "numPartitions": str(JDBC_CONNECTIONS),
-        "batchsize": "10000",
-    }
-
-
-def write_jdbc(df: DataFrame, options: dict[str, str], mode: str) -> None:
-    """Write a result table to a database; ``mode`` is ``overwrite`` or ``append``."""
-    df.write.format("jdbc").options(**options).mode(mode).save()
-
-
-def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Read a table such as the blacklist; inside ``foreachBatch`` it is current per batch."""
-    read = {key: options[key] for key in ("url", "dbtable", "user", "password")}
-    return spark.read.format("jdbc").options(**read).load()

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.sources import storage
-from clickloom.sources.adlog import parse_ad_log
+from clickloom.sources.adlog import admitted_clicks, parse_ad_log
 from clickloom.streaming import batch_log
 from clickloom.streaming.batch_log import BatchLog
 
@@ -181,6 +181,21 @@ def start_click_trend(clicks: DataFrame, tables: AdTables, delay: str = MINUTE_D
     return _start(counts, "ad_click_trend", tables, write, trigger)
 
 
+def start_all(lines: DataFrame, tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD,
+              trigger: dict = EVERY_BATCH) -> list[StreamingQuery]:
+    """The whole service on a stream of log lines; wait with ``spark.streams``."""
+    spark = lines.sparkSession
+    tables.create(spark)
+    admitted = admitted_clicks(spark, tables.admitted.path)
+    return [
+        start_admission(lines, tables, trigger),
+        start_user_clicks(admitted, tables, threshold, trigger=trigger),
+        start_region_counts(admitted, tables, trigger=trigger),
+        start_province_top3(admitted, tables, trigger=trigger),
+        start_click_trend(admitted, tables, trigger=trigger),
+    ]
+
+
 # Current rows of the result tables.
 
 def user_clicks(spark: SparkSession, tables: AdTables) -> DataFrame:

@@ -124,6 +124,30 @@ def test_tables_equal_the_batch_operators(spark):
     assert rows(streams.recent_hour(spark, tables)) == rows(ads.ad_recent_hour(minutes))
 
 
+def test_whole_service(spark):
+    run = Run(spark)
+    lines(spark, *[click(1, user=u, ad=u % 2) for u in range(9)]).write.text(f"{run.landing}/1")
+    queries = streams.start_all(adlog.file_lines(run.session, run.landing), run.tables, 1,
+                                {"processingTime": "0 seconds"})
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    assert run.tables.blacklist.rows(spark).count() == 9
+    for read in (streams.user_clicks, streams.region_counts, streams.province_top3,
+                 streams.click_trend):
+        assert read(spark, run.tables).agg({"clickCount": "sum"}).first()[0] == 9
+
+
+def test_stored_totals(spark):
+    clicks = adlog.parse_ad_log(lines(spark, *[click(1, user=1)] * 2, click(1, user=2)))
+    counts = ads.ad_user_daily_clicks(clicks)
+    stored = counts.where("userid = 1").selectExpr("date", "userid", "adid", "5L as clickCount")
+    assert rows(ads.add_stored(counts, stored), "userid", "clickCount") == [(1, 7), (2, 1)]
+
+
 def test_recent_hour_equals_sliding_windows(spark):
     rng = random.Random(1)
     texts = [click(day, ad=rng.choice([1, 1, 2]), second=rng.choice([0, 59, rng.randrange(9000)]))

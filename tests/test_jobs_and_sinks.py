@@ -1,12 +1,12 @@
 import pytest
 
-from clickloom import schemas, sinks
-from clickloom.operators import ads
+from clickloom import app, schemas, sinks
+from clickloom.operators import ads, sessions
 from clickloom.plans import jobs
-from clickloom.sources import storage
+from clickloom.sources import adlog, jdbc, storage
 from clickloom.streaming import batch_log
 from clickloom.streaming.batch_log import BatchLog
-from tests.tables import PARAMS, action, actions, rows, users
+from tests.tables import PARAMS, action, actions, click, lines, rows, users
 
 KEYS = ["date", "userid", "adid"]
 
@@ -43,10 +43,70 @@ def test_overwrite_append_and_catalog(spark):
 
 
 def test_jdbc_options():
-    options = sinks.jdbc_options("jdbc:x", "t", "u", "p")
+    target = jdbc.connection("jdbc:x", "t", "u", "p")
+    assert target == {"url": "jdbc:x", "dbtable": "t", "user": "u", "password": "p"}
+    options = jdbc.write_options(target)
     assert options["truncate"] == "true" and options["dbtable"] == "t"
 
 
+def test_programs(spark):
+    acts = actions(spark, action("s1", 0, click_product_id=2, city_id=1), action("s1", 5, page=2))
+    acts.createOrReplaceTempView("user_visit_action")
+    users(spark, (1, 20, "p", "c", "m")).createOrReplaceTempView("user_info")
+    spark.createDataFrame([(2, "p2", '{"product_status": 0}')],
+                          schemas.PRODUCTS).createOrReplaceTempView("product_info")
+    root = storage.new_run_dir(spark, "programs")
+    params = '{startDate:"2024-01-01", endDate:"2024-01-31", targetPageFlow:"1,2"}'
+    for job in ("session", "page", "area"):
+        app.main([job, "--params", params, "--task-id", "t", "--output", root])
+    assert rows(spark.read.parquet(f"{root}/page_conver_rates")) == [("t", "1_2:1.0")]
+    assert rows(spark.read.parquet(f"{root}/area_top3_product"),
+                "area", "cityInfos", "productStatus") == [("华东", "1:上海", "self")]
+    assert spark.read.parquet(f"{root}/session_aggr_stat").count() == 1
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Settings under which AQE takes a few kilobytes for a skewed partition."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def _final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_session_is_split(spark, small_splits):
+    path = storage.new_run_dir(spark, "hot")
+    actions(spark, *[action(f"s{i % 97}" if i % 3 else "hot", i, page=i % 7)
+                     for i in range(6000)]).repartition(20).write.parquet(path)
+    acts = spark.read.parquet(path)
+    found = sessions.filtered_actions(acts, sessions.session_facts(acts)).groupBy("page_id").count()
+    assert sum(row["count"] for row in found.collect()) == 6000
+    assert "skew=true" in _final_plan(found)
+
+
+def test_hot_user_is_split(spark, small_splits):
+    path = storage.new_run_dir(spark, "hot")
+    lines(spark, *[click(1 + i % 2, user=i % 97 if i % 3 else 7, second=i)
+                   for i in range(6000)]).repartition(20).write.text(path)
+    clicks = adlog.parse_ad_log(spark.read.text(path))
+    found = ads.ad_clicks_admitted(clicks, 100).groupBy("date").count()
+    counts = {str(row["date"]): row["count"] for row in found.collect()}
+    plan = _final_plan(found)
+    assert "skew=true" in plan
+    # User 7 is barred after the first day.
+    first_day = clicks.where("date = '2024-01-01' or userid <> 7").count()
+    assert sum(counts.values()) == first_day
+
+
 def _log(spark, schema=schemas.AD_USER_CLICK_COUNT):
     return BatchLog(storage.new_run_dir(spark, "log"), schema).create(spark)
 

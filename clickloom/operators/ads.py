@@ -31,13 +31,13 @@ def add_stored(counts: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def over_threshold(user_counts: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
-    """Users who clicked one ad at least ``threshold`` times on one day."""
-    return user_counts.where(F.col("clickCount") >= threshold).select("userid").distinct()
+    """Users who clicked one ad at least ``threshold`` times on one day, once per day and ad."""
+    return user_counts.where(F.col("clickCount") >= threshold).select("userid")
 
 
 def ad_blacklist(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
     """Users to be barred, from all clicks of a batch."""
-    return over_threshold(ad_user_daily_clicks(clicks), threshold)
+    return over_threshold(ad_user_daily_clicks(clicks), threshold).distinct()
 
 
 def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The jobs as programs: ``spark-submit clickloom/app.py session --params ... --output ...``."""
+"""The jobs as programs: ``spark-submit main.py session --params ... --output ...``."""
 
 from __future__ import annotations
 
@@ -54,7 +54,3 @@ def main(arguments: list[str] | None = None) -> None:
         results = jobs.area_job(actions, tables.product_table(spark, args.products), cities,
                                 params)
     jobs.write_results(results, args.output)
-
-
-if __name__ == "__main__":
-    main()

@@ -14,20 +14,32 @@ _NO_PAUSE = {"processingTime": "0 seconds"}
 # Files of admitted clicks per micro-batch for the queries that only read them.
 _FILES_PER_BATCH = 64
 
+# Input per state partition.
+_BYTES_PER_PARTITION = 64 << 20
+
 _replays: dict[tuple, AdTables] = {}
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """A session for streams: the number of state partitions stays fixed over the life of a
-    checkpoint, so it is set to what the cluster can run at once."""
+def stream_session(spark: SparkSession, expected_bytes: int = 0) -> SparkSession:
+    """A session for streams over about so much input.
+
+    The number of state partitions stays fixed over the life of a checkpoint, so it follows the
+    input that is to come, up to what the cluster can run at once.
+    """
     session = spark.newSession()
     for key, value in SETTINGS.items():
         session.conf.set(key, value)
-    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    partitions = min(spark.sparkContext.defaultParallelism,
+                     1 + expected_bytes // _BYTES_PER_PARTITION)
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     return session
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def write_days(lines: DataFrame, path: str) -> list[str]:
     """Store log lines as text files, one folder per day; returns the folders in day order."""
     millis = F.get(F.split("value", " "), F.lit(0)).try_cast("long")
@@ -65,8 +77,9 @@ def ad_stream(spark: SparkSession, sf_dir: str, threshold: int, start=None) -> A
     Within one application each part runs once per data set.
     """
     key = (spark.sparkContext.applicationId, sf_dir, threshold)
+    size = _estimated_bytes(testdata.ad_lines(spark, sf_dir))
     if key not in _replays:
-        session = stream_session(spark)
+        session = stream_session(spark, size)
         tables = AdTables(storage.new_run_dir(spark, "ad-stream")).create(session)
         prepared = f"{tables.root}/prepared"
         days = write_days(testdata.ad_lines(session, sf_dir), prepared)
@@ -74,10 +87,8 @@ def ad_stream(spark: SparkSession, sf_dir: str, threshold: int, start=None) -> A
         _replays[key] = tables
     tables = _replays[key]
     if start and (*key, start) not in _replays:
-        session = stream_session(spark)
+        session = stream_session(spark, size)
         stream = adlog.admitted_clicks(session, tables.admitted.path, _FILES_PER_BATCH)
         start(stream, tables, trigger=streams.AVAILABLE_NOW).awaitTermination()
         _replays[(*key, start)] = tables
-    # The result tables are read in the caller's session.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return tables

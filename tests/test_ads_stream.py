@@ -19,8 +19,7 @@ class Run:
     """An ad stream fed by hand; every call of ``feed`` is one micro-batch of every query."""
 
     def __init__(self, spark, threshold=3):
-        self.session = stream_session(spark)
-        self.session.conf.set("spark.sql.shuffle.partitions", "2")
+        self.session = stream_session(spark, 100 << 20)
         self.threshold = threshold
         self.tables = AdTables(storage.new_run_dir(spark, "ads")).create(self.session)
         self.landing = f"{self.tables.root}/landing"

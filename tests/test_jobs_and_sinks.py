@@ -93,6 +93,15 @@ def test_hot_session_is_split(spark, small_splits):
     assert "skew=true" in _final_plan(found)
 
 
+def test_no_session_and_no_barred_user(spark, small_splits):
+    acts = actions(spark, action("s1"), action("s2"))
+    none = sessions.session_facts(acts).where("step_length > 5")
+    assert sessions.filtered_actions(acts, none).count() == 0
+    clicks = adlog.parse_ad_log(lines(spark, click(1)))
+    assert ads.ad_clicks_admitted(clicks, 5).count() == 1
+    assert ads.drop_blacklisted(clicks, clicks.where("userid < 0")).count() == 1
+
+
 def test_hot_user_is_split(spark, small_splits):
     path = storage.new_run_dir(spark, "hot")
     lines(spark, *[click(1 + i % 2, user=i % 97 if i % 3 else 7, second=i)

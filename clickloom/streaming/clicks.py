@@ -152,20 +152,19 @@ def start_province_top3(clicks: DataFrame, tables: AdTables, top: int = ads.TOP_
 
     Counts only grow, so an ad can enter a top list only in a batch that changes its count: the
     new list of a group is the best of its old list and the changed counts. No batch reads the
-    counts of the ads that stayed as they were.
+    counts of the ads that stayed as they were. The lists of a day, a few rows per province, are
+    one partition of the table and are replaced together.
     """
-    groups = ["date", "province"]
-
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         tables.province_counts.append(batch, batch_id)
         changed = tables.province_counts.batch(spark, batch_id)
         old = (spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(tables.province_top3)
-               .join(changed.select(groups).distinct(), groups, "left_semi"))
-        candidates = (old.unionByName(changed).groupBy(*groups, "adid")
+               .join(changed.select("date").distinct(), "date", "left_semi"))
+        candidates = (old.unionByName(changed).groupBy("date", "province", "adid")
                       .agg(F.max("clickCount").alias("clickCount")))
         batch_log.replace_groups(ads.ad_province_top3(candidates, top), tables.province_top3,
-                                 tables.province_top3_log, groups, batch_id)
+                                 tables.province_top3_log, ["date"], batch_id)
 
     counts = _daily_counts(clicks, ["province", "adid"], delay)
     return _start(counts, "ad_province_top3", tables, write, trigger)

@@ -38,7 +38,7 @@ OP3 = f"""
         select distinct doc_id, unnest(
             case when len(w) >= 3
                  then list_transform(range(1, len(w) - 1),
-                                     i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                                     lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
                  when len(w) > 0 then [array_to_string(w, ' ')]
                  else [] end) as s
         from tokens),
@@ -61,7 +61,59 @@ OP3 = f"""
          left join sizes using (doc_id)
     group by d.doc_id"""
 
+_FURNITURE = ("cookie|privacy policy|terms of use|terms of service|all rights reserved|"
+              "subscribe to|sign up|log in|click here|read more|share this|javascript|lorem ipsum")
+
+OP8 = rf"""
+    with texts as (
+        select row_number() over () as k, doc_id, coalesce(text, '') as text from documents),
+    split as (
+        select k, doc_id, text, {_WORDS.format(text="text")} as w,
+               list_filter(string_split(text, chr(10)),
+                           lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+        from texts),
+    windows as (
+        select k, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as s
+        from split, unnest(range(1, len(w) - 1)) as u(i)),
+    repeated as (
+        select k, i from windows
+        qualify count(*) over (partition by k, s) > 1),
+    covered as (
+        select k, count(distinct i + o) as n
+        from repeated, (values (0), (1), (2)) as v(o) group by k),
+    judged_lines as (
+        select k, x, len({_WORDS.format(text="x")}) as n,
+               length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g')) as solid,
+               length(regexp_replace(x, '[^#*$%&<>{{}}\\~^=]', '', 'g')) as symbols,
+               length(regexp_replace(x, '[^\pL]', '', 'g')) as letters,
+               length(regexp_replace(x, '[^\p{{Lu}}]', '', 'g')) as capitals,
+               len(string_split_regex(x, '\s[|»›•>·]\s|\s::\s')) as parts
+        from split, unnest(lines) as u(x)),
+    left_over as (
+        select k, sum(solid) as kept_chars from judged_lines
+        where not (parts >= 4
+                   or (regexp_matches(lower(x), '{_FURNITURE}') and n <= 12)
+                   or 100 * symbols > 10 * solid
+                   or (100 * capitals > 70 * letters and letters >= 20)
+                   or (n < 3 and not regexp_matches(
+                       x, '[.!?:;…。！？"''”’)\]][\x20\x09-\x0D]*$')))
+        group by k),
+    counted as (
+        select split.*, len(w) as n_words,
+               length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+               len(lines) - len(list_distinct(lines)) as n_dup_lines,
+               coalesce(n, 0) as n_repeat_words, coalesce(kept_chars, 0) as kept_chars
+        from split left join covered using (k) left join left_over using (k)),
+    failed as (
+        select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed
+        from counted)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           not base_failed and 100 * kept_chars >= 50 * greatest(word_chars, 1) as kept
+    from failed"""
+
 SQL = {
     "op1_url_filter": OP1,
     "op3_minhash_near_dedup": OP3,
+    "op8_quality_rules": OP8,
 }

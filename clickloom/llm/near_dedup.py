@@ -34,6 +34,9 @@ from clickloom.sources.storage import materialize
 # Shingles of a block's documents, and documents of a block.
 BLOCK_SHINGLES = 1 << 20
 BLOCK_DOCS = 512
+# Up to so many ids (8 bytes each) go to every executor, so that the texts they stand for need no
+# exchange; more are joined by exchanging both sides.
+BROADCAST_IDS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -275,6 +278,9 @@ def near_duplicates(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("posted").alias("posted")), "sets")
     pairs = materialize(_candidates(sets.select("rep", "posted"), sizes), "candidates")
     searched = (pairs.select(F.col("a").alias("rep")).union(pairs.select("leader")).distinct())
+    searched = materialize(searched, "searched")
+    if searched.count() <= BROADCAST_IDS:
+        searched = F.broadcast(searched)
     texts = materialize(
         docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
         .join(searched, "rep").join(sets.select("rep", "n_shingles"), "rep")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickloom.llm import near_dedup, packing, quality_rules, url_filter
+from clickloom.llm import near_dedup, packing, quality_rules, secret_scan, url_filter
 from clickloom.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measured(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@_query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.find_secrets(docs).select(
+        "doc_id", "n_assign", "n_access", "n_hex",
+        F.sha2(secret_scan.span_text("base"), 256).alias("base_sha256"),
+        secret_scan.span_text("secrets").alias("spans"))

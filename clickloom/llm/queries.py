@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickloom.llm import near_dedup, packing, quality_rules, secret_scan, url_filter
+from clickloom.llm import (
+    decontaminate, language_id, near_dedup, packing, quality_rules, secret_scan, toxicity,
+    url_filter)
+from clickloom.llm.sampling import fold
 from clickloom.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +96,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex",
         F.sha2(secret_scan.span_text("base"), 256).alias("base_sha256"),
         secret_scan.span_text("secrets").alias("spans"))
+
+
+@_query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"),
+                                       table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)))
+    model = language_id.Model.learn(docs.where("not held_out"),
+                                    public_tokenizers.path("piece_bpe_32k.model"))
+    return language_id.predict(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
+        "held_out", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)))
+    model = toxicity.Model.learn(docs.where("not held_out"), table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model).select("doc_id", "held_out", "score", "predicted")

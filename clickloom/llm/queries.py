@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickloom.llm import (
-    decontaminate, language_id, near_dedup, packing, quality_rules, secret_scan, toxicity,
+    decontaminate, html_extract, language_id, near_dedup, packing, quality_rules, secret_scan, toxicity,
     url_filter)
 from clickloom.llm.sampling import fold
 from clickloom.llm.sql import SQL
@@ -119,3 +119,9 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "held_out", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)))
     model = toxicity.Model.learn(docs.where("not held_out"), table(spark, sf_dir, "labels"))
     return toxicity.predict(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@_query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", "n_chars")

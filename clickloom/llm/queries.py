@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +10,11 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickloom.llm import (
-    decontaminate, html_extract, language_id, near_dedup, packing, quality_rules, secret_scan, toxicity,
-    url_filter)
+    decontaminate, html_extract, language_id, licenses, near_dedup, packing, quality_rules,
+    secret_scan, toxicity, url_filter)
 from clickloom.llm.sampling import fold
 from clickloom.llm.sql import SQL
+from clickloom.llm.workers import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,18 +33,6 @@ def _query(fn: Query) -> Query:
     return run
 
 
-def ready(spark: SparkSession) -> None:
-    """Lets the Python workers of a local session find the library, wherever it was started.
-
-    On a cluster it comes with ``--py-files``.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    held = spark.sparkContext.environment
-    paths = held.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
-    if spark.sparkContext.master.startswith("local[") and root not in paths:
-        held["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -125,3 +112,9 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages")).select(
         "page_id", "url", "text", "n_chars")
+
+
+@_query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", "license", "dice", "n_matches")

@@ -33,6 +33,8 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}"
 MIN_VALUE = 12
 MASK = "[SECRET]"
+# Beyond all cells: nothing of the band is rejected.
+_NO_CUT = 1_000_000
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 # Encodings from the smallest alphabet on: pattern of the whole string, its alphabet.
@@ -194,22 +196,19 @@ def find_secrets(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     ``(start, kind, stop, found)`` ordered by start, then kind."""
     scanned = _scanned(docs, battery)
     tests = scanned.select(F.explode("_tests").alias("t")).select("t.band", "t.cell")
-    # At most one row per band of lengths.
-    cuts = thresholds(tests, battery).agg(F.map_from_entries(F.collect_list(
-        F.struct("band", "cut"))).alias("_cuts"))
-    # One row for all: a broadcast of one row by its constant key.
-    judged = scanned.withColumn("_one", F.lit(1)).join(
-        F.broadcast(cuts.withColumn("_one", F.lit(1))), "_one", "left")
-    random = F.expr("transform(filter(_tests, t -> t.cell < coalesce(_cuts[t.band], 1000000)),"
-                    " t -> t.span)")
-    return (judged.withColumn("_random", random)
+    # One number for each band of lengths.
+    cuts = {row["band"]: row["cut"] for row in thresholds(tests, battery).collect()}
+    above = " ".join(f"when {band} then {cut}" for band, cut in sorted(cuts.items()))
+    cut = f"case t.band {above} else {_NO_CUT} end" if cuts else str(_NO_CUT)
+    random = F.expr(f"transform(filter(_tests, t -> t.cell < {cut}), t -> t.span)")
+    return (scanned.withColumn("_random", random)
             .withColumns({"n_assign": F.size("_assign").cast("long"),
                           "n_access": F.size("_access").cast("long"),
                           "n_hex": F.size("_hex").cast("long"),
                           "n_random": F.size("_random").cast("long"),
                           "base": F.col("_base"),
                           "secrets": F.array_sort(F.concat("_base", "_random"))})
-            .drop("_text", "_assign", "_access", "_hex", "_base", "_tests", "_cuts", "_one",
+            .drop("_text", "_assign", "_access", "_hex", "_base", "_tests",
                   "_random"))
 
 

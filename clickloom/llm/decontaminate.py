@@ -13,7 +13,8 @@ The bitmap has a fixed size and no false negatives, so it only saves work. What
 document is the region around its hits, not the text.
 
 Null and empty texts are clean. Items with fewer than ``min_matches`` words cannot be overlapped
-enough and are never found. Rows that repeat a ``doc_id`` (or have none) share one result. With an
+enough and are never found. Rows that repeat a ``doc_id`` (or have none) share one result. Items
+without an id are found like all others, and repeated items count once. With an
 empty benchmark all documents are clean. Other columns are ignored.
 """
 
@@ -74,22 +75,22 @@ def _items(benchmark: DataFrame) -> DataFrame:
                 names=["item_id", "item"])
 
     return benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        cut, "item_id long, item array<long>")
+        cut, "item_id long, item array<long>").withColumn("key", F.expr("uuid()"))
 
 
 def _item_seeds(items: DataFrame) -> DataFrame:
     def cut(batches):
         for batch in batches:
-            for item, words in zip(batch["item_id"].to_pylist(), batch["item"]):
+            for item, words in zip(batch["key"].to_pylist(), batch["item"]):
                 held = np.array(words.values if words.is_valid else [], dtype=np.int64)
                 for codes in seeds(held.view(np.uint64)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(codes.view(np.int64)),
                          pa.array(np.arange(len(codes), dtype=np.int64)),
-                         pa.array([item] * len(codes), pa.int64())],
-                        names=["seed", "item_at", "item_id"])
+                         pa.array([item] * len(codes), pa.string())],
+                        names=["seed", "item_at", "key"])
 
-    return items.mapInArrow(cut, "seed long, item_at long, item_id long")
+    return items.select("key", "item").mapInArrow(cut, "seed long, item_at long, key string")
 
 
 def _cells(codes: np.ndarray) -> np.ndarray:
@@ -166,7 +167,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_matches: int = 12,
     hits = regions.select("region", F.explode(F.arrays_zip("at", "seeds")).alias("hit")).select(
         "region", F.col("hit.at").alias("at"), F.col("hit.seeds").alias("seed"))
     aligned = (hits.join(item_seeds, "seed")
-               .select("region", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+               .select("region", "key", (F.col("at") - F.col("item_at")).alias("shift"))
                .distinct())
 
     def verify(batches):
@@ -189,7 +190,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_matches: int = 12,
                 names=["doc_id", "item_id", "matches", "length", "doc_word", "item_word"])
 
     return (aligned.join(regions.select("region", "doc_id", "start", "words"), "region")
-            .join(items, "item_id")
+            .join(items, "key")
             .select("doc_id", "item_id", "shift", "start", "words", "item")
             .mapInArrow(verify, "doc_id long, item_id long, matches long, length long,"
                                 " doc_word long, item_word long"))
@@ -200,7 +201,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_matches: int = 12,
     """Per row of ``docs``: ``doc_id, contaminated, n_items, item_id, matches``: of the largest
     overlap (the smallest item of equal ones); null and 0 for clean documents."""
     found = overlaps(docs, benchmark, min_matches, min_percent).groupBy("doc_id").agg(
-        F.count_distinct("item_id").alias("n_items"),
+        F.count_distinct(F.struct("item_id")).alias("n_items"),
         F.max(F.struct("matches", (-F.col("item_id")).alias("item"))).alias("top"))
     found = found.select(F.col("doc_id").alias("_doc"), "n_items",
                          (-F.col("top.item")).alias("item_id"), F.col("top.matches"))

@@ -48,11 +48,11 @@ _CTES = {
                cast(18 + (c_custkey * 7) % 43 as integer) as age, c_mktsegment as professional,
                'city' || c_nationkey as city,
                case when c_custkey % 2 = 0 then 'male' else 'female' end as sex
-        from customer where c_custkey % 37 <> 5""",
+        from customer""",
     "product_info": """
         select p_partkey as product_id, p_name || ' ' || p_partkey as product_name,
                '{"product_status": ' || (p_size % 2) || '}' as extend_info
-        from part where p_partkey % 13 <> 5""",
+        from part""",
     "city_info": """
         select cast(city_id as bigint) as city_id, city_name, area from (values
             (0, '北京', '华北'), (1, '上海', '华东'), (2, '南京', '华东'), (3, '广州', '华南'),
@@ -187,18 +187,18 @@ _CTES = {
     "minutes": """
         select date_trunc('minute', click_time) as minute_start, adid, count(*) as n
         from admitted group by all""",
-    "morning_top": """
+    "first_top": """
         select date, province, adid, n from (
             select *, row_number() over (partition by date, province order by n desc, adid)
                 as place
             from (select date, province, adid, count(*) as n from clicks
-                  where hour(click_time) < 12 group by all))
+                  group by all))
         where place <= 3""",
     "late_top": """
         select date, province, adid, n from (
             select *, row_number() over (partition by date, province order by n desc, adid)
                 as place
-            from (select date, province, adid, count(*) as n from clicks
+            from (select date, province, adid, count(*) as n from admitted
                   where date >= date '2024-01-15' group by all))
         where place <= 3""",
 }
@@ -325,6 +325,13 @@ _SELECTS = {
                    as rate
         from (select *, coalesce(lag(pair_count) over (order by step), start_count) as before
               from flow_counts, arrivals)""",
+    "page_conversion_report": """
+        select 'task-1' as taskid, page_id || '_' || next_page_id || ':' || rate as "convertRate"
+        from (select step, page_id, next_page_id, pair_count,
+               case when before > 0 then pair_count / cast(before as double) else 0.0::double end
+                   as rate
+        from (select *, coalesce(lag(pair_count) over (order by step), start_count) as before
+              from flow_counts, arrivals))""",
     "area_clicks": "select city_id, city_name, area, product_id from clicks_by_area",
     "area_product_counts": "select area, product_id, click_count, city_infos from area_counts",
     "area_product_info": "select * from area_info",
@@ -364,7 +371,7 @@ _SELECTS = {
     "sink_replace_groups": f"""
         select {_DAY}, province, adid, n as "clickCount" from (
             select * from late_top union all
-            select m.* from morning_top m
+            select m.* from first_top m
             where not exists (select 1 from late_top l
                               where l.date = m.date and l.province = m.province))""",
     "sink_insert_new": _BLACKLIST,

@@ -220,6 +220,11 @@ def page_conversion(spark, sf_dir):
     return funnel.page_conversion(_actions(spark, sf_dir), PARAMS)
 
 
+@_query
+def page_conversion_report(spark, sf_dir):
+    return funnel.conversion_report(page_conversion(spark, sf_dir), PARAMS.task_id)
+
+
 # Areas.
 
 def _clicks_and_cities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -381,8 +386,9 @@ def sink_replace_groups(spark, sf_dir):
     def top3(part):
         return ads.ad_province_top3(ads.ad_province_counts(ads.ad_region_counts(part)))
 
-    late = clicks.where(F.col("date") >= F.lit(CUT).cast("date"))
-    for batch_id, part in enumerate((clicks.where(_is_morning()), late)):
+    late = (ads.ad_clicks_admitted(clicks, THRESHOLD)
+            .where(F.col("date") >= F.lit(CUT).cast("date")))
+    for batch_id, part in enumerate((clicks, late)):
         batch_log.replace_groups(top3(part), path, log, ["date", "province"], batch_id)
     return _date_text(spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(path))
 

@@ -45,8 +45,11 @@ def admitted_clicks(spark: SparkSession, path: str,
     return reader.load(path)
 
 
-_WELL_FORMED = """
-    try_cast(parts[0] as long) is not null
+# A click's time may be so far ahead of the clock, for clocks that differ.
+AHEAD_MILLIS = 24 * 3600 * 1000
+
+_WELL_FORMED = f"""
+    try_cast(parts[0] as long) between 0 and unix_millis(current_timestamp()) + {AHEAD_MILLIS}
     and try_cast(get(parts, 3) as long) is not null
     and try_cast(get(parts, 4) as long) is not null"""
 
@@ -60,15 +63,18 @@ def _parts(lines: DataFrame, *kept: str) -> DataFrame:
 def parse_ad_log(lines: DataFrame, observed_as: str | None = None) -> DataFrame:
     """Typed clicks of the well-formed lines, for batches and streams.
 
+    A line is malformed if its fields are no numbers, or if its time lies before 1970 or more than
+    ``AHEAD_MILLIS`` ahead of the clock.
+
     With ``observed_as`` the run reports, as an observed metric of that name, how many ``lines``
     it read and how many of them were ``malformed``.
     """
     parts = _parts(lines)
     if observed_as:
         parts = parts.observe(observed_as, F.count(F.lit(1)).alias("lines"),
-                              F.count_if(~F.expr(_WELL_FORMED)).alias("malformed"))
+                              F.count_if(~F.coalesce(F.expr(_WELL_FORMED), F.lit(False))).alias("malformed"))
     return (parts.where(_WELL_FORMED)
-            .selectExpr("timestamp_millis(cast(parts[0] as long)) as click_time",
+            .selectExpr("timestamp_millis(try_cast(parts[0] as long)) as click_time",
                         "parts[1] as province", "parts[2] as city",
                         "cast(parts[3] as long) as userid", "cast(parts[4] as long) as adid")
             .select("click_time", F.to_date("click_time").alias("date"), "province", "city",
@@ -77,4 +83,4 @@ def parse_ad_log(lines: DataFrame, observed_as: str | None = None) -> DataFrame:
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines :func:`parse_ad_log` leaves out."""
-    return _parts(lines, "value").where(f"not ({_WELL_FORMED})").select("value")
+    return _parts(lines, "value").where(f"not coalesce({_WELL_FORMED}, false)").select("value")

@@ -56,7 +56,7 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "customer").where("c_custkey % 37 <> 5").selectExpr(
+    return _read(spark, sf_dir, "customer").selectExpr(
         "c_custkey as user_id", "concat('user', c_custkey) as username", "c_name as name",
         "cast(18 + c_custkey * 7 % 43 as int) as age", "c_mktsegment as professional",
         "concat('city', c_nationkey) as city",
@@ -64,7 +64,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "part").where("p_partkey % 13 <> 5").selectExpr(
+    return _read(spark, sf_dir, "part").selectExpr(
         "p_partkey as product_id", "concat(p_name, ' ', p_partkey) as product_name",
         """concat('{"product_status": ', p_size % 2, '}') as extend_info""")
 

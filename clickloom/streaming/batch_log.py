@@ -23,6 +23,8 @@ BATCH = "batch_id"
 class BatchLog:
     path: str
     schema: StructType
+    # Columns that are folders within a batch, so that readers can leave days out.
+    by: tuple[str, ...] = ()
 
     def _batch_path(self, batch_id: int) -> str:
         return f"{self.path}/{BATCH}={batch_id}"
@@ -42,13 +44,30 @@ class BatchLog:
         state of a stateful query.
         """
         spark = rows.sparkSession
+        self._refuse_others(spark)
         staging, final = self._staging_path(batch_id), self._batch_path(batch_id)
         written = Observation()
-        (rows.select(self.schema.names).observe(written, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").parquet(staging))
+        writer = (rows.select(self.schema.names)
+                  .observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite"))
+        (writer.partitionBy(*self.by) if self.by else writer).parquet(staging)
         if (keep_empty or written.get["rows"]) and not storage.exists(spark, final):
             storage.rename(spark, staging, final)
 
+    def _refuse_others(self, spark: SparkSession) -> None:
+        """Batch numbers come from a checkpoint, so only the query that has it may add batches.
+
+        A query with a new checkpoint counts from 0 again; its batches would be taken for replays
+        of those that are here, and be lost.
+        """
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            return
+        owners = f"{self.path}/_owner"
+        if not storage.exists(spark, owners):
+            storage.make_dir(spark, f"{owners}/id-{query}")
+        if storage.child_dirs(spark, owners) != [f"id-{query}"]:
+            raise RuntimeError(f"{self.path} belongs to a query with another checkpoint")
+
     def read(self, spark: SparkSession) -> DataFrame:
         """All batches, with their number in ``batch_id``."""
         schema = StructType([*self.schema.fields, StructField(BATCH, LongType())])
@@ -62,7 +81,7 @@ class BatchLog:
         path = self._batch_path(batch_id)
         if not storage.exists(spark, path):
             return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(path)
+        return spark.read.schema(self.schema).parquet(path).select(self.schema.names)
 
 
 def current_sum(log: DataFrame, keys: list[str], value: str) -> DataFrame:

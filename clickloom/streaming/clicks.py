@@ -2,9 +2,10 @@
 
 ``start_admission`` drops the clicks of barred users and stores the rest; the other queries read
 what it stored. ``start_user_clicks`` feeds the blacklist that the admission re-reads with every
-micro-batch. Every query has its own checkpoint, keeps its totals in the state store, and writes
-only what a micro-batch changed, so its cost follows the clicks that arrive and not the size of
-the result tables. The state of a day (a minute) is dropped once the watermark has passed it.
+micro-batch. Every query has its own checkpoint and no state: a micro-batch adds the counts of its
+own clicks, once, and the current rows are sums. So no click is too late, whatever its day, how its
+files are cut into batches, or what clock it came from. Where a batch needs totals, it reads the
+stored counts of its own days.
 """
 
 from __future__ import annotations
@@ -25,9 +26,6 @@ from clickloom.streaming.batch_log import BatchLog
 # Triggers: the running service, and "all there is, then stop".
 EVERY_BATCH = {"processingTime": "5 seconds"}
 AVAILABLE_NOW = {"availableNow": True}
-# How late clicks may be before their day or minute is closed.
-DAY_DELAY = "2 days"
-MINUTE_DELAY = "1 hour"
 
 
 @dataclass(frozen=True)
@@ -36,8 +34,8 @@ class AdTables:
 
     root: str
 
-    def _log(self, name: str, schema) -> BatchLog:
-        return BatchLog(f"{self.root}/{name}", schema)
+    def _log(self, name: str, schema, *by: str) -> BatchLog:
+        return BatchLog(f"{self.root}/{name}", schema, by)
 
     @property
     def admitted(self) -> BatchLog:
@@ -49,15 +47,15 @@ class AdTables:
 
     @property
     def user_clicks(self) -> BatchLog:
-        return self._log("ad_user_click_count", schemas.AD_USER_CLICK_COUNT)
+        return self._log("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "date")
 
     @property
     def regions(self) -> BatchLog:
-        return self._log("ad_stat", schemas.AD_STAT)
+        return self._log("ad_stat", schemas.AD_STAT, "date")
 
     @property
     def province_counts(self) -> BatchLog:
-        return self._log("ad_province_count", schemas.AD_PROVINCE_COUNT)
+        return self._log("ad_province_count", schemas.AD_PROVINCE_COUNT, "date")
 
     @property
     def province_top3_log(self) -> BatchLog:
@@ -69,7 +67,7 @@ class AdTables:
 
     @property
     def trend(self) -> BatchLog:
-        return self._log("ad_click_trend", schemas.AD_CLICK_TREND)
+        return self._log("ad_click_trend", schemas.AD_CLICK_TREND, "date")
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
@@ -105,79 +103,71 @@ def start_admission(lines: DataFrame, tables: AdTables,
     return _start(parse_ad_log(lines, "ad_log"), "ad_admission", tables, write, trigger, mode="append")
 
 
-def _daily(clicks: DataFrame, delay: str) -> DataFrame:
-    """Clicks with their day as the event time, so that the watermark closes whole days."""
-    return (clicks.withColumn("day", F.date_trunc("day", "click_time"))
-            .withWatermark("day", delay))
-
-
-def _daily_counts(clicks: DataFrame, keys: list[str], delay: str) -> DataFrame:
-    return (_daily(clicks, delay).groupBy("day", *keys)
-            .agg(F.count(F.lit(1)).alias("clickCount"))
-            .select(F.to_date("day").alias("date"), *keys, "clickCount"))
+def _in_days_of(log: BatchLog, spark: SparkSession, batch_id: int) -> DataFrame:
+    """What the log has, up to a batch, for the days of that batch."""
+    days = log.batch(spark, batch_id).select("date").distinct()
+    ends = days.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+    earlier = log.read(spark).where(F.col(batch_log.BATCH) <= batch_id)
+    if ends["low"] is None:
+        return earlier.limit(0)
+    # The bounds are literals, so other days are not even listed as files to read.
+    return earlier.where(F.col("date").between(F.lit(ends["low"]), F.lit(ends["high"]))).join(
+        days, "date", "left_semi")
 
 
 def start_user_clicks(clicks: DataFrame, tables: AdTables,
-                      threshold: int = ads.BLACKLIST_THRESHOLD, delay: str = DAY_DELAY,
+                      threshold: int = ads.BLACKLIST_THRESHOLD,
                       trigger: dict = EVERY_BATCH) -> StreamingQuery:
-    """Running clicks per day, user and ad, and the blacklist that follows from them.
-
-    The state is the running total, so the users at the threshold are found among the changed
-    rows alone.
-    """
+    """Clicks per day, user and ad, and the blacklist that follows from their sums."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tables.user_clicks.append(batch, batch_id)
-        changed = tables.user_clicks.batch(spark, batch_id)
-        batch_log.insert_new(ads.over_threshold(changed, threshold), tables.blacklist,
+        tables.user_clicks.append(ads.ad_user_daily_clicks(batch), batch_id)
+        keys = ["date", "userid", "adid"]
+        changed = tables.user_clicks.batch(spark, batch_id).select(keys)
+        totals = batch_log.current_sum(
+            _in_days_of(tables.user_clicks, spark, batch_id).join(changed, keys, "left_semi"),
+            keys, "clickCount")
+        batch_log.insert_new(ads.over_threshold(totals, threshold), tables.blacklist,
                              ["userid"], batch_id)
 
-    counts = _daily_counts(clicks, ["userid", "adid"], delay)
-    return _start(counts, "ad_user_clicks", tables, write, trigger)
+    return _start(clicks, "ad_user_clicks", tables, write, trigger, mode="append")
 
 
-def start_region_counts(clicks: DataFrame, tables: AdTables, delay: str = DAY_DELAY,
+def start_region_counts(clicks: DataFrame, tables: AdTables,
                         trigger: dict = EVERY_BATCH) -> StreamingQuery:
-    """Running clicks per day, province, city and ad."""
+    """Clicks per day, province, city and ad."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables.regions.append(batch, batch_id)
+        tables.regions.append(ads.ad_region_counts(batch), batch_id)
 
-    counts = _daily_counts(clicks, ["province", "city", "adid"], delay)
-    return _start(counts, "ad_region_counts", tables, write, trigger)
+    return _start(clicks, "ad_region_counts", tables, write, trigger, mode="append")
 
 
 def start_province_top3(clicks: DataFrame, tables: AdTables, top: int = ads.TOP_ADS,
-                        delay: str = DAY_DELAY, trigger: dict = EVERY_BATCH) -> StreamingQuery:
+                        trigger: dict = EVERY_BATCH) -> StreamingQuery:
     """The most clicked ads per day and province, refreshed with every micro-batch.
 
-    Counts only grow, so an ad can enter a top list only in a batch that changes its count: the
-    new list of a group is the best of its old list and the changed counts. No batch reads the
-    counts of the ads that stayed as they were. The lists of a day, a few rows per province, are
-    one partition of the table and are replaced together.
+    The lists of the batch's days are made from the stored counts of those days. The lists of a
+    day, a few rows per province, are one partition of the table and are replaced together.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tables.province_counts.append(batch, batch_id)
-        changed = tables.province_counts.batch(spark, batch_id)
-        old = (spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(tables.province_top3)
-               .join(changed.select("date").distinct(), "date", "left_semi"))
-        candidates = (old.unionByName(changed).groupBy("date", "province", "adid")
-                      .agg(F.max("clickCount").alias("clickCount")))
-        batch_log.replace_groups(ads.ad_province_top3(candidates, top), tables.province_top3,
+        counts = ads.ad_province_counts(ads.ad_region_counts(batch))
+        tables.province_counts.append(counts, batch_id)
+        totals = batch_log.current_sum(_in_days_of(tables.province_counts, spark, batch_id),
+                                       ["date", "province", "adid"], "clickCount")
+        batch_log.replace_groups(ads.ad_province_top3(totals, top), tables.province_top3,
                                  tables.province_top3_log, ["date"], batch_id)
 
-    counts = _daily_counts(clicks, ["province", "adid"], delay)
-    return _start(counts, "ad_province_top3", tables, write, trigger)
+    return _start(clicks, "ad_province_top3", tables, write, trigger, mode="append")
 
 
-def start_click_trend(clicks: DataFrame, tables: AdTables, delay: str = MINUTE_DELAY,
+def start_click_trend(clicks: DataFrame, tables: AdTables,
                       trigger: dict = EVERY_BATCH) -> StreamingQuery:
-    """Running clicks per minute and ad."""
+    """Clicks per minute and ad."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables.trend.append(batch, batch_id)
+        tables.trend.append(ads.ad_click_trend(ads.minute_counts(batch)), batch_id)
 
-    counts = ads.ad_click_trend(ads.minute_counts(clicks.withWatermark("click_time", delay)))
-    return _start(counts, "ad_click_trend", tables, write, trigger)
+    return _start(clicks, "ad_click_trend", tables, write, trigger, mode="append")
 
 
 def start_all(lines: DataFrame, tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD,
@@ -198,12 +188,12 @@ def start_all(lines: DataFrame, tables: AdTables, threshold: int = ads.BLACKLIST
 # Current rows of the result tables.
 
 def user_clicks(spark: SparkSession, tables: AdTables) -> DataFrame:
-    return batch_log.current_last(tables.user_clicks.read(spark), ["date", "userid", "adid"],
+    return batch_log.current_sum(tables.user_clicks.read(spark), ["date", "userid", "adid"],
                                   "clickCount")
 
 
 def region_counts(spark: SparkSession, tables: AdTables) -> DataFrame:
-    return batch_log.current_last(tables.regions.read(spark),
+    return batch_log.current_sum(tables.regions.read(spark),
                                   ["date", "province", "city", "adid"], "clickCount")
 
 
@@ -212,7 +202,7 @@ def province_top3(spark: SparkSession, tables: AdTables) -> DataFrame:
 
 
 def click_trend(spark: SparkSession, tables: AdTables) -> DataFrame:
-    return batch_log.current_last(tables.trend.read(spark), ["date", "hour", "minute", "adid"],
+    return batch_log.current_sum(tables.trend.read(spark), ["date", "hour", "minute", "adid"],
                                   "clickCount")
 
 

@@ -87,14 +87,54 @@ def test_restarts_go_on_from_the_checkpoint(spark, run):
         ("2024-01-01", "0", "0", 1, 6)]
 
 
-def test_late_days_are_counted_until_closed(spark, run):
+def test_late_days_are_counted(spark, run):
     for day in (1, 2, 3, 9, 9, 8, 1):
         run.feed(click(day, user=day))
-        run.read(streams.start_region_counts)
-    counts = rows(texted(streams.region_counts(spark, run.tables)), "date", "clickCount")
-    # Day 8 comes after day 9 and counts; day 1 comes a week late and does not.
-    assert counts == [("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 1),
+        for start in READERS:
+            run.read(start)
+    counts = rows(texted(streams.region_counts(spark, run.tables).groupBy("date").agg(
+        F.sum("clickCount").alias("clickCount"))), "date", "clickCount")
+    assert counts == [("2024-01-01", 2), ("2024-01-02", 1), ("2024-01-03", 1),
                       ("2024-01-08", 1), ("2024-01-09", 2)]
+    assert streams.click_trend(spark, run.tables).agg({"clickCount": "sum"}).first()[0] == 7
+    assert streams.province_top3(spark, run.tables).agg({"clickCount": "sum"}).first()[0] == 7
+
+
+def test_many_files_in_any_order_lose_nothing(spark, run):
+    run.admit(*[click(day, user=k, ad=k % 3, second=97 * k % 80000)
+                for day in (3, 1, 2) for k in range(70)])
+    run.tables.admitted.rows(spark).repartition(200).write.parquet(f"{run.tables.root}/spread")
+    clicks = adlog.admitted_clicks(run.session, f"{run.tables.root}/spread", 64)
+    for start in READERS:
+        run._finish(start(clicks, run.tables, trigger=AVAILABLE_NOW))
+    batch = run.tables.admitted.rows(spark)
+    assert rows(streams.region_counts(spark, run.tables)) == rows(ads.ad_region_counts(batch))
+    assert rows(streams.click_trend(spark, run.tables)) == rows(
+        ads.ad_click_trend(ads.minute_counts(batch)))
+
+
+def test_times_out_of_range_are_malformed(spark, run):
+    query = run.admit("9223372036854775807 0 0 1 2", "4102444800000 0 0 1 2", "-1 0 0 1 2",
+                      click(1))
+    assert query.lastProgress.observedMetrics["ad_log"]["malformed"] == 3
+    assert run.tables.admitted.rows(spark).count() == 1
+
+
+def test_another_checkpoint_is_refused(spark, run):
+    run.feed(click(1), click(1))
+    run.read(streams.start_region_counts)
+    other = AdTables(storage.new_run_dir(spark, "other"))
+
+    class Moved(AdTables):
+        def checkpoint(self, name):
+            return other.checkpoint(name)
+
+    moved = Moved(run.tables.root)
+    query = streams.start_region_counts(
+        adlog.admitted_clicks(run.session, moved.admitted.path), moved, trigger=AVAILABLE_NOW)
+    with pytest.raises(Exception, match="another checkpoint"):
+        query.awaitTermination()
+    assert streams.region_counts(spark, run.tables).agg({"clickCount": "sum"}).first()[0] == 2
 
 
 def test_tables_equal_the_batch_operators(spark):

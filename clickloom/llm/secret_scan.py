@@ -123,12 +123,13 @@ def _battery(found: str) -> str:
     """SQL of a struct ``(n, p)`` for one candidate string."""
     whens = " ".join(f"when {found} rlike {_quoted(p)} then {_quoted(a)}" for p, a in ENCODINGS)
     alphabet = f"(case {whens} else {_quoted(_UPPER + _LOWER + _DIGITS + '+/-_')} end)"
+    # Cells of uniformity hold three characters or more on average.
     # Each step is a one-element array, so that what it holds is made once.
     places = (f"transform(array({alphabet}), a -> named_struct('k', length(a), 'n',"
               f" length({found}), 'x', transform(filter(split({found}, ''), c -> c <> ''),"
               f" c -> instr(a, c) - 1)))")
     bins = ("transform(" + places + ", w -> named_struct('n', w.n, 'x', w.x, 'k', w.k,"
-            " 'b', least(w.k, greatest(2, w.n div 5)),"
+            " 'b', least(w.k, greatest(2, w.n div 3)),"
             " 'mean', aggregate(w.x, 0.0D, (t, v) -> t + v) / w.n))")
     sums = (
         "transform(" + bins + ", w -> named_struct('n', w.n, 'b', w.b,"

@@ -51,9 +51,9 @@ def line_fails(line: Column, rules: Rules = Rules()) -> Column:
     """Whether a line with at least one word is to be removed."""
     solid = F.length(F.regexp_replace(line, SPACE, ""))
     n_words = F.size(words(line))
-    symbols = F.length(F.regexp_replace(line, r"[^#*$%&<>{}\\~^=]", ""))
-    letters = F.length(F.regexp_replace(line, r"[^\p{L}]", ""))
-    capitals = F.length(F.regexp_replace(line, r"[^\p{Lu}]", ""))
+    symbols = F.length(F.regexp_replace(line, r"[^#*$%&<>{}\\~^=]+", ""))
+    letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
+    capitals = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
     parts = F.size(F.split(line, r"\s[|»›•>·]\s|\s::\s"))
     furniture = F.lower(line).rlike("|".join(BOILERPLATE)) & (n_words <= rules.furniture_words)
     return ((parts >= rules.menu_parts)
@@ -93,8 +93,8 @@ def measured(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     base = docs.withColumns({"_words": words(text), "_lines": lines})
     counted = with_repeat_words(base, "_words", "n_repeat_words").withColumns({
         "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, SPACE, "")).cast("long"),
-        "n_symbols": F.length(F.regexp_replace(text, r"[^#*$%&|<>]", "")).cast("long"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "_kept_lines": F.filter("_lines", lambda x: ~line_fails(x, rules)),
     })

@@ -73,10 +73,10 @@ def with_repeat_words(docs: DataFrame, held: str, name: str) -> DataFrame:
     n = F.size(held)
     # In steps: a column that is used twice is made by a projection of its own.
     hashed = docs.withColumn("_windows", F.when(n >= 3, F.expr(f"""
-        array_sort(transform(sequence(0, greatest(size(`{held}`) - 3, 0)), i -> named_struct(
+        sort_array(transform(sequence(0, greatest(size(`{held}`) - 3, 0)), i -> named_struct(
             'h', xxhash64(`{held}`[i], `{held}`[i + 1], `{held}`[i + 2]), 'i', i)))""")))
     repeated = hashed.withColumn("_at", F.expr("""
-        array_sort(transform(filter(_windows, (w, k) ->
+        sort_array(transform(filter(_windows, (w, k) ->
             (k > 0 and _windows[k - 1].h = w.h)
             or (k < size(_windows) - 1 and _windows[k + 1].h = w.h)), w -> w.i))"""))
     return repeated.withColumn(name, F.expr("""

@@ -138,11 +138,13 @@ class Model:
         marks = (labels.where("doc_id is not null and toxic is not null")
                  .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
         rows = docs.where("doc_id is not null").select("doc_id", "text")
-        marked = rows.join(marks, "doc_id")
+        marked = rows.select("doc_id").join(marks, "doc_id")
         if prior is None:
             share = marked.agg(F.avg("toxic")).first()[0]
             prior = DEFAULT_PRIOR if share is None else min(0.9, max(1e-3, share))
-        toxic = about(marked.where("toxic = 1"), sample, F.col("doc_id"))
+        # Ids are joined and sampled first, and then the texts of the few that are left.
+        chosen = about(marked.where("toxic = 1").distinct(), sample, F.col("doc_id"))
+        toxic = rows.join(F.broadcast(chosen.select("doc_id")), "doc_id")
         others = about(rows, sample, F.col("doc_id"))
         held = _features(toxic.select("text", F.lit(True).alias("toxic")).union(
             others.select("text", F.lit(False).alias("toxic"))))

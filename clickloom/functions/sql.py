@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# The names under which users know these functions.
 _FUNCTIONS = {
     "concat_long_string(id bigint, label string, sep string)":
         "concat(cast(id as string), sep, label)",

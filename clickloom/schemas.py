@@ -45,6 +45,6 @@ AD_STAT = _schema(
 AD_PROVINCE_COUNT = _schema(
     ("date", _DATE), ("province", _TEXT), ("adid", _LONG), ("clickCount", _LONG))
 AD_PROVINCE_TOP3 = AD_PROVINCE_COUNT
-AD_CLICK_TREND = _schema(
-    ("date", _DATE), ("hour", _TEXT), ("minute", _TEXT), ("adid", _LONG),
-    ("clickCount", _LONG))
+# By the instant at which a minute starts; two minutes can have one name when clocks are set back.
+AD_MINUTE_COUNT = _schema(
+    ("date", _DATE), ("minute_start", TimestampType()), ("adid", _LONG), ("clickCount", _LONG))

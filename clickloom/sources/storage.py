@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+# Folders of the scopes that are open, the innermost last.
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,11 +42,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Several results that share an expensive input then read a columnar table, each only the
     columns it needs, and a lost executor costs a re-read instead of a recomputation.
     """
-    path = f"{new_run_dir(df.sparkSession, 'staged')}/{name}"
+    folder = new_run_dir(df.sparkSession, "staged")
+    if _scopes:
+        _scopes[-1].append(folder)
+    path = f"{folder}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end, what :func:`materialize` has written inside.
+
+    Results that read it must be stored by then.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in _scopes.pop():
+            remove(spark, folder)
+
+
 def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -66,6 +87,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; nothing happens if there is none."""
+    fs, hadoop_path = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def child_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the visible folders directly below ``path``, sorted."""
     fs, hadoop_path = _path(spark, path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
@@ -46,6 +46,17 @@ def write_actions(actions: DataFrame, path: str, mode: str = "append") -> None:
     actions.hint("rebalance", "date").write.mode(mode).partitionBy("date").parquet(path)
 
 
+def ingest_actions(raw: DataFrame, path: str) -> dict[str, int]:
+    """Add delivered actions to a stored table; returns how many ``rows`` came and how many were
+    ``rejected``, because their day or time is missing or cannot be read."""
+    seen = Observation()
+    bad = F.col("date").isNull() | F.col("action_time").isNull()
+    typed = actions_from_text(raw).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected"))
+    write_actions(typed.where(~bad), path)
+    return seen.get
+
+
 def read_actions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ACTIONS).parquet(path)
 
@@ -64,7 +75,8 @@ def product_clicks_in_range(actions: DataFrame, params: TaskParams) -> DataFrame
 
 
 def action_table(spark: SparkSession, name: str = ACTION_TABLE) -> DataFrame:
-    return spark.table(name)
+    """A catalog table, or the folder that :func:`ingest_actions` fills."""
+    return read_actions(spark, name) if "/" in name else spark.table(name)
 
 
 def user_table(spark: SparkSession, name: str = USER_TABLE) -> DataFrame:

@@ -68,6 +68,11 @@ class BatchLog:
         if storage.child_dirs(spark, owners) != [f"id-{query}"]:
             raise RuntimeError(f"{self.path} belongs to a query with another checkpoint")
 
+    def last_batch(self, spark: SparkSession) -> int | None:
+        """The highest number of a batch; none if there is no batch."""
+        names = [n for n in storage.child_dirs(spark, self.path) if n.startswith(f"{BATCH}=")]
+        return max((int(n.split("=")[1]) for n in names), default=None)
+
     def read(self, spark: SparkSession) -> DataFrame:
         """All batches, with their number in ``batch_id``."""
         schema = StructType([*self.schema.fields, StructField(BATCH, LongType())])
@@ -101,13 +106,21 @@ def insert_new(rows: DataFrame, log: BatchLog, keys: list[str], batch_id: int) -
     log.append(fresh, batch_id, keep_empty=False)
 
 
-def compact(log: BatchLog, resolved: DataFrame, target: BatchLog, last_batch: int) -> None:
+def compact(log: BatchLog, resolved: DataFrame, target: BatchLog,
+            last_batch: int | None) -> None:
     """Maintenance: start a new table with the current rows of an old one.
 
     Run it between two runs of a query and go on with ``target``; batch numbers keep rising, as
-    they come from the query's checkpoint.
+    they come from the query's checkpoint. The query that adds batches stays the same.
     """
-    target.create(resolved.sparkSession).append(resolved, last_batch)
+    spark = resolved.sparkSession
+    target.create(spark)
+    owners = f"{log.path}/_owner"
+    for owner in storage.child_dirs(spark, owners) if storage.exists(spark, owners) else []:
+        storage.make_dir(spark, f"{target.path}/_owner/{owner}")
+    if last_batch is not None:
+        days = [c for c in target.by if c in resolved.columns]
+        target.append(resolved.hint("rebalance", *days) if days else resolved, last_batch)
 
 
 def replace_groups(rows: DataFrame, path: str, log: BatchLog, groups: list[str],

@@ -10,6 +10,7 @@ stored counts of its own days.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,19 +28,34 @@ from clickloom.streaming.batch_log import BatchLog
 EVERY_BATCH = {"processingTime": "5 seconds"}
 AVAILABLE_NOW = {"availableNow": True}
 
+_GENERATIONS = "generations"
+
 
 @dataclass(frozen=True)
 class AdTables:
-    """The tables and checkpoints of the ad stream, below one shared folder."""
+    """The tables and checkpoints of the ad stream, below one shared folder.
+
+    Compaction (:func:`compact`) writes the counting tables anew, as the next ``generation``.
+    """
 
     root: str
+    generation: int = 0
+
+    @classmethod
+    def newest(cls, spark: SparkSession, root: str) -> AdTables:
+        """The tables as the last finished compaction has left them."""
+        done = f"{root}/{_GENERATIONS}"
+        names = storage.child_dirs(spark, done) if storage.exists(spark, done) else []
+        return cls(root, max(map(int, names), default=0))
 
     def _log(self, name: str, schema, *by: str) -> BatchLog:
-        return BatchLog(f"{self.root}/{name}", schema, by)
+        suffix = f"-{self.generation}" if self.generation else ""
+        return BatchLog(f"{self.root}/{name}{suffix}", schema, by)
 
     @property
     def admitted(self) -> BatchLog:
-        return self._log("ad_clicks_admitted", schemas.AD_CLICKS)
+        # Streams read this folder and remember its files, so it stays where it is.
+        return BatchLog(f"{self.root}/ad_clicks_admitted", schemas.AD_CLICKS)
 
     @property
     def blacklist(self) -> BatchLog:
@@ -67,7 +83,7 @@ class AdTables:
 
     @property
     def trend(self) -> BatchLog:
-        return self._log("ad_click_trend", schemas.AD_CLICK_TREND, "date")
+        return self._log("ad_click_trend", schemas.AD_MINUTE_COUNT, "date")
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
@@ -165,7 +181,8 @@ def start_click_trend(clicks: DataFrame, tables: AdTables,
                       trigger: dict = EVERY_BATCH) -> StreamingQuery:
     """Clicks per minute and ad."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables.trend.append(ads.ad_click_trend(ads.minute_counts(batch)), batch_id)
+        minutes = ads.minute_counts(batch).withColumn("date", F.to_date("minute_start"))
+        tables.trend.append(minutes, batch_id)
 
     return _start(clicks, "ad_click_trend", tables, write, trigger, mode="append")
 
@@ -201,14 +218,70 @@ def province_top3(spark: SparkSession, tables: AdTables) -> DataFrame:
     return spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(tables.province_top3)
 
 
+def minute_counts(spark: SparkSession, tables: AdTables, since: dt.datetime | None = None,
+                  until: dt.datetime | None = None) -> DataFrame:
+    """Clicks per minute and ad, of the minutes that start in ``[since, until)``."""
+    log = tables.trend.read(spark)
+    # The days prune folders; a day to spare on either side covers other time zones.
+    if since is not None:
+        log = log.where((F.col("date") >= F.date_sub(F.to_date(F.lit(since)), 1))
+                        & (F.col("minute_start") >= F.lit(since)))
+    if until is not None:
+        log = log.where((F.col("date") <= F.date_add(F.to_date(F.lit(until)), 1))
+                        & (F.col("minute_start") < F.lit(until)))
+    return batch_log.current_sum(log, ["minute_start", "adid"], "clickCount")
+
+
 def click_trend(spark: SparkSession, tables: AdTables) -> DataFrame:
-    return batch_log.current_sum(tables.trend.read(spark), ["date", "hour", "minute", "adid"],
-                                  "clickCount")
+    return ads.ad_click_trend(minute_counts(spark, tables))
+
 
+def recent_hour(spark: SparkSession, tables: AdTables, since: dt.datetime | None = None,
+                until: dt.datetime | None = None) -> DataFrame:
+    """Clicks per ad in every 60 minutes, from the stored minute counts.
 
-def recent_hour(spark: SparkSession, tables: AdTables) -> DataFrame:
-    """Clicks per ad in the 60 minutes before every minute, from the stored minute counts."""
-    minute = F.to_timestamp(F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit(" "), "hour",
-                                     F.lit(":"), "minute"), "yyyy-MM-dd HH:mm")
-    trend = click_trend(spark, tables).select(minute.alias("minute_start"), "adid", "clickCount")
-    return ads.ad_recent_hour(trend)
+    With bounds: of the windows that start in ``[since, until)``, from the days they touch.
+    """
+    end = until + dt.timedelta(hours=1) if until is not None else None
+    windows = ads.ad_recent_hour(minute_counts(spark, tables, since, end))
+    if since is not None:
+        windows = windows.where(F.col("window_start") >= F.lit(since))
+    if until is not None:
+        windows = windows.where(F.col("window_start") < F.lit(until))
+    return windows
+
+
+# Upkeep.
+
+def compact(spark: SparkSession, tables: AdTables) -> AdTables:
+    """Write the counting tables anew with one batch each, and return the new tables.
+
+    Run it while the service is stopped; it goes on with ``AdTables.newest``. The compacted batch
+    bears the number of the last one that is in it, so a batch that is replayed after the restart
+    is recognised. An interrupted compaction leaves the old tables in charge.
+    """
+    target = AdTables(tables.root, tables.generation + 1)
+
+    def summed(log: BatchLog, *keys: str) -> DataFrame:
+        return batch_log.current_sum(log.read(spark), list(keys), "clickCount")
+
+    def last(log: BatchLog) -> DataFrame:
+        return log.batch(spark, log.last_batch(spark) or 0)
+
+    steps = [
+        (tables.blacklist, target.blacklist, lambda log: log.rows(spark)),
+        (tables.user_clicks, target.user_clicks,
+         lambda log: summed(log, "date", "userid", "adid")),
+        (tables.regions, target.regions,
+         lambda log: summed(log, "date", "province", "city", "adid")),
+        (tables.province_counts, target.province_counts,
+         lambda log: summed(log, "date", "province", "adid")),
+        # Needed only to repeat the last batch.
+        (tables.province_top3_log, target.province_top3_log, last),
+        (tables.trend, target.trend, lambda log: summed(log, "date", "minute_start", "adid")),
+    ]
+    for old, new, resolved in steps:
+        storage.remove(spark, new.path)
+        batch_log.compact(old, resolved(old), new, old.last_batch(spark))
+    storage.make_dir(spark, f"{tables.root}/{_GENERATIONS}/{target.generation}")
+    return target

@@ -1,5 +1,6 @@
 """The streaming jobs: their tables against the batch operators and against hand-worked runs."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -163,6 +164,54 @@ def test_tables_equal_the_batch_operators(spark):
     assert rows(streams.recent_hour(spark, tables)) == rows(ads.ad_recent_hour(minutes))
 
 
+def test_recent_hour_with_bounds_reads_the_days_it_needs(spark, run):
+    texts = [click(day, ad=day % 2, second=s) for day in (1, 4, 8) for s in (0, 60, 4000)]
+    run.admit(*texts)
+    run.read(streams.start_click_trend)
+    since = dt.datetime(2024, 1, 4, 12, 0, tzinfo=dt.timezone.utc)
+    until = since + dt.timedelta(minutes=30)
+    bounded = streams.recent_hour(spark, run.tables, since, until)
+    every = streams.recent_hour(spark, run.tables)
+    assert rows(bounded) == rows(every.where(
+        F.col("window_start").between(F.lit(since), F.lit(until - dt.timedelta(minutes=1)))))
+    plan = bounded._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "date" in filters and ">= 2024-01-03" in filters and "<= 2024-01-05" in filters
+
+
+def test_minutes_of_one_name_are_counted_apart(spark, run):
+    """The hour that autumn repeats: 05:30 and 06:30 UTC are both 01:30 in New York."""
+    moments = [int(dt.datetime(2023, 11, 5, h, 30, tzinfo=dt.timezone.utc).timestamp() * 1000)
+               for h in (5, 6)]
+    run.session.conf.set("spark.sql.session.timeZone", "America/New_York")
+    run.admit(*[f"{m} 0 0 1 1" for m in moments])
+    run.read(streams.start_click_trend)
+    assert rows(streams.minute_counts(run.session, run.tables), "clickCount") == [(1,), (1,)]
+    assert rows(streams.click_trend(run.session, run.tables), "hour", "minute") == [
+        ("01", "30")] * 2
+
+
+def test_service_goes_on_after_compaction(spark, run):
+    for second in (0, 30):
+        run.feed(*[click(1, user=u, ad=u % 2, second=second) for u in range(6)])
+        for start in READERS:
+            run.read(start)
+    reads = (streams.user_clicks, streams.region_counts, streams.province_top3,
+             streams.click_trend)
+    before = [rows(read(spark, run.tables)) for read in reads]
+    run.tables = streams.compact(run.session, run.tables)
+    assert run.tables == AdTables.newest(spark, run.tables.root) != AdTables(run.tables.root)
+    assert [rows(read(spark, run.tables)) for read in reads] == before
+    assert run.tables.user_clicks.read(spark).select("batch_id").distinct().count() == 1
+    # The third click of each user and ad; two of them are in the compacted tables.
+    run.feed(*[click(1, user=u, ad=u % 2, second=90) for u in range(6)])
+    for start in READERS:
+        run.read(start)
+    for read in reads:
+        assert read(spark, run.tables).agg({"clickCount": "sum"}).first()[0] == 18
+    assert run.tables.blacklist.rows(spark).count() == 6
+
+
 def test_whole_service(spark):
     run = Run(spark)
     lines(spark, *[click(1, user=u, ad=u % 2) for u in range(9)]).write.text(f"{run.landing}/1")

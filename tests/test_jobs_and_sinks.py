@@ -1,9 +1,9 @@
 import pytest
 
 from clickloom import app, schemas, sinks
-from clickloom.operators import ads, sessions
+from clickloom.operators import ads, categories, sessions
 from clickloom.plans import jobs
-from clickloom.sources import adlog, jdbc, storage
+from clickloom.sources import adlog, jdbc, storage, tables
 from clickloom.streaming import batch_log
 from clickloom.streaming.batch_log import BatchLog
 from tests.tables import PARAMS, action, actions, click, lines, rows, users
@@ -49,6 +49,34 @@ def test_jdbc_options():
     assert options["truncate"] == "true" and options["dbtable"] == "t"
 
 
+def test_jdbc_reads_in_parts():
+    assert jdbc.partition_options("id", 0, 100, 4) == {
+        "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4"}
+
+
+def test_ingest_feeds_the_jobs(spark):
+    delivered = [action("s1", time="2024-01-10 8:00:00"), action("s1", 5, page=2),
+                 action("s2", time="2024-01-40 08:00:00"), action("s2", time="2024-01-11 noon")]
+    names = schemas.ACTIONS_TEXT.names
+    spark.createDataFrame([tuple(row[n] for n in names) for row in delivered],
+                          schemas.ACTIONS_TEXT).createOrReplaceTempView("delivered")
+    users(spark, (1, 20, "p", "c", "m")).createOrReplaceTempView("user_info")
+    stored, root = storage.new_run_dir(spark, "actions"), storage.new_run_dir(spark, "results")
+    assert tables.ingest_actions(spark.table("delivered"), f"{stored}/counted") == {
+        "rows": 4, "rejected": 2}
+    app.main(["ingest", "--input", "delivered", "--output", stored + "/a"])
+    def staged():
+        held = storage.child_dirs(spark, f"{storage.shared_dir(spark)}/clickloom")
+        return [name for name in held if name.startswith("staged-")]
+
+    before = staged()
+    app.main(["session", "--params", '{startDate:"2024-01-01", endDate:"2024-01-31"}',
+              "--output", root, "--actions", stored + "/a"])
+    stat = spark.read.parquet(f"{root}/session_aggr_stat")
+    assert rows(stat, "session_count", "visit_length_4s_6s_ratio") == [(1, 1.0)]
+    assert staged() == before
+
+
 def test_programs(spark):
     acts = actions(spark, action("s1", 0, click_product_id=2, city_id=1), action("s1", 5, page=2))
     acts.createOrReplaceTempView("user_visit_action")
@@ -93,6 +121,18 @@ def test_hot_session_is_split(spark, small_splits):
     assert "skew=true" in _final_plan(found)
 
 
+def test_hot_session_is_split_under_the_next_aggregate(spark, small_splits):
+    path = storage.new_run_dir(spark, "hot")
+    actions(spark, *[action(f"s{i % 97}" if i % 3 else "hot", i, click_category_id=i)
+                     for i in range(6000)]).repartition(20).write.parquet(path)
+    acts = spark.read.parquet(path)
+    kept = sessions.filtered_actions(acts, sessions.session_facts(acts))
+    found = categories.session_category_counts(kept)
+    assert found.count() == 6000
+    found.collect()
+    assert "skew=true" in _final_plan(found)
+
+
 def test_no_session_and_no_barred_user(spark, small_splits):
     acts = actions(spark, action("s1"), action("s2"))
     none = sessions.session_facts(acts).where("step_length > 5")

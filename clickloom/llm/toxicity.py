@@ -10,10 +10,12 @@ The second part is a risk and cannot be negative; where a flexible model pushes
 overfitting, and the step goes the other way. Losses are logistic, so the score is a probability.
 
 Features are the distinct words of a text, ASCII letters lower-cased, cut at everything that is not
-a letter or digit. The classifier knows the words whose shares among positives and unlabelled texts
-differ by ``MIN_Z`` standard errors or more (at most ``MAX_FEATURES``, the most telling ones), so a
-small sample does not teach it the words of single texts. It is fitted on a bounded sample
-(``SAMPLE_TEXTS`` positives and as many unlabelled texts), each whole; all texts are scored whole.
+a letter or digit, and the beginnings (``BEGINNING`` bytes) that two of its words or more share, as
+languages that inflect or compound have a form for each place. The classifier knows the features
+whose shares among positives and unlabelled texts differ by ``MIN_Z`` standard errors or more (at
+most ``MAX_FEATURES``, the most telling ones), so a small sample does not teach it the words of
+single texts. It is fitted on a bounded sample (``SAMPLE_TEXTS`` positives and as many unlabelled
+texts), each whole; all texts are scored whole.
 
 Null and empty texts have no words and get the score of the constant. If there are no positives or
 no unlabelled texts the score is the prior. Rows of one ``doc_id`` get results by their own texts;
@@ -37,22 +39,28 @@ SAMPLE_TEXTS = 8000
 MAX_FEATURES = 20_000
 MIN_TEXTS, MIN_Z = 3, 4.5
 DEFAULT_PRIOR = 0.1
+# Bytes of the beginning that inflected and compound forms of a word share.
+BEGINNING = 5
 STEPS, RATE, DECAY = 400, 0.1, 1e-4
 
 _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def _distinct_words(texts: pa.Array) -> Iterator[np.ndarray]:
-    for _, hashes, cuts in words_by_text(texts, _IS_WORD):
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            yield np.unique(hashes[low:high])
+def _text_features(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The features of each text: distinct words, and beginnings that two words or more have."""
+    for words, begun in zip(words_by_text(texts, _IS_WORD),
+                            words_by_text(texts, _IS_WORD, BEGINNING)):
+        for low, high, first, last in zip(words[2][:-1], words[2][1:], begun[2][:-1], begun[2][1:]):
+            beginnings, n = np.unique(begun[1][first:last], return_counts=True)
+            # Flipped bits keep a beginning apart from the word of the same letters.
+            yield np.unique(np.concatenate([words[1][low:high], ~beginnings[n > 1]]))
 
 
 def _features(rows: DataFrame) -> DataFrame:
     def distinct(batches):
         for batch in batches:
-            words = [w.view(np.int64) for w in _distinct_words(batch["text"])]
+            words = [w.view(np.int64) for w in _text_features(batch["text"])]
             yield pa.RecordBatch.from_arrays(
                 [batch["toxic"], pa.array(words, pa.list_(pa.int64()))], names=["toxic", "words"])
 
@@ -158,7 +166,7 @@ class Model:
         return Model(*fit(lists[True], lists[False], prior))
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        lists = list(_distinct_words(texts))
+        lists = list(_text_features(texts))
         return _sigmoid(_Texts(lists, self.known).margins(self.weights, self.constant))
 
 

@@ -69,8 +69,12 @@ def runs(at: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def word_hashes(data: np.ndarray, is_word: np.ndarray = _IS_WORD,
-                starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of every word in ``data``; no word spans one of ``starts``."""
+                starts: np.ndarray | None = None,
+                width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word in ``data``; no word spans one of ``starts``.
+
+    With ``width``: of the first bytes, so many, of every word that has them.
+    """
     inside = is_word[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -82,19 +86,25 @@ def word_hashes(data: np.ndarray, is_word: np.ndarray = _IS_WORD,
     heads = np.flatnonzero(first[kept])
     lengths = np.diff(np.append(heads, len(kept)))
     place = np.arange(len(kept)) - np.repeat(heads, lengths)
-    value = _BYTE_CODE[data[kept]] * _power_table(int(lengths.max()))[place]
+    if width is not None:
+        begins = (place < width) & np.repeat(lengths >= width, lengths)
+        kept, place = kept[begins], place[begins]
+        heads = np.flatnonzero(place == 0)
+        if not len(heads):
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+    value = _BYTE_CODE[data[kept]] * _power_table(int(place.max()) + 1)[place]
     return mix(np.add.reduceat(value, heads)), kept[heads]
 
 
-def words_by_text(texts: pa.Array,
-                  is_word: np.ndarray = _IS_WORD) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def words_by_text(texts: pa.Array, is_word: np.ndarray = _IS_WORD,
+                  width: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each run of texts: the first one's number, word hashes, and where each text's begin."""
     at, held = utf8(texts)
     for first, last in runs(at):
         low = at[first]
         data = held[low:at[last]]
         starts = at[first:last] - low
-        hashes, places = word_hashes(data, is_word, starts[starts < len(data)])
+        hashes, places = word_hashes(data, is_word, starts[starts < len(data)], width)
         cuts = np.searchsorted(places, at[first:last + 1] - low)
         yield first, hashes, cuts
 

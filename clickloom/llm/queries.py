@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from clickloom.llm import (
     decontaminate, html_extract, language_id, licenses, near_dedup, packing, quality_rules,
-    secret_scan, toxicity, url_filter)
+    secret_scan, sharding, toxicity, url_filter)
 from clickloom.llm.sampling import fold
 from clickloom.llm.sql import SQL
 from clickloom.llm.workers import ready
@@ -118,3 +118,8 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs).select("doc_id", "license", "dice", "n_matches")
+
+
+@_query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.places(table(spark, sf_dir, "documents"))

@@ -112,8 +112,41 @@ OP8 = rf"""
            not base_failed and 100 * kept_chars >= 50 * greatest(word_chars, 1) as kept
     from failed"""
 
+# crc32 of a list of bytes, looked up byte by byte in the table of its polynomial.
+_CRC_TABLE = """
+    crc_bits(i, k, c) as (
+        select i, 0, i from range(256) as t(i)
+        union all
+        select i, k + 1, case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end
+        from crc_bits where k < 8),
+    crc_table as (select list(c order by i) as t from crc_bits where k = 8)"""
+_CRC = """xor(4294967295, list_reduce(
+    list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::bigint))"""
+
+OP13 = f"""
+    with recursive {_CRC_TABLE},
+    texts as (
+        select row_number() over () as k, doc_id, coalesce(text, '') as text from documents),
+    keyed as (
+        select k, doc_id, strlen(text) + 1 as size, {_CRC.format(text="text")} as text_crc32,
+               ('0x' || substr(md5(text), 1, 15))::bigint as key
+        from texts, crc_table),
+    summed as (
+        select *, sum(size) over (order by key, doc_id nulls first, k
+                                  rows unbounded preceding) as upto,
+               sum(size) over () as total,
+               row_number() over (order by key, doc_id nulls first, k) as place
+        from keyed),
+    placed as (
+        select *, least(7, (2 * upto - size) * 8 // (2 * total))::int as shard from summed)
+    select doc_id, size, text_crc32, 'bytes' as law, shard,
+           place - min(place) over (partition by shard) as slot, null::int as grown_shard
+    from placed"""
+
 SQL = {
     "op1_url_filter": OP1,
     "op3_minhash_near_dedup": OP3,
     "op8_quality_rules": OP8,
+    "op13_sharding": OP13,
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from clickloom.llm import (
     decontaminate, html_extract, language_id, licenses, near_dedup, packing, quality_rules,
-    secret_scan, sharding, toxicity, url_filter)
+    secret_scan, sharding, spelling, toxicity, url_filter)
 from clickloom.llm.sampling import fold
 from clickloom.llm.sql import SQL
 from clickloom.llm.workers import ready
@@ -120,6 +120,12 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).select("doc_id", "license", "dice", "n_matches")
 
 
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents")).select(
+        "word", "n", "n_near", "form", "form_n", "root")
+
+
 @_query
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.places(table(spark, sf_dir, "documents"))

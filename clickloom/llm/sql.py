@@ -124,6 +124,51 @@ _CRC = """xor(4294967295, list_reduce(
     list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint),
     lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::bigint))"""
 
+OP11 = rf"""
+    with recursive {_CRC_TABLE},
+    runs as (
+        select coalesce(doc_id::varchar, '') as id,
+               unnest(regexp_extract_all({_LOWER_AZ.format(text="text")}, '[a-z\x{{C0}}-\x{{FF}}]+')) as r
+        from documents),
+    hashed as (
+        select r, times, {_CRC.format(text="id || ':' || r")} as h
+        from (select id, r, count(*) as times from runs group by id, r), crc_table),
+    results as (
+        select case when h % 97 = 0
+                    then substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2)
+                    else r end as word, times
+        from hashed),
+    words as materialized (
+        select word, sum(times)::bigint as n from results
+        where length(word) >= 5 group by word having sum(times) >= 3),
+    less as materialized (
+        select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+        from words, unnest(range(1, length(word) + 1)) as u(i)),
+    near as (
+        select a.word, b.word as other, b.n from less a join less b
+            on a.rest = b.rest and a.i = b.i and a.word <> b.word and length(a.word) = length(b.word)
+        union
+        select a.word, b.word, b.n from less a join words b on a.rest = b.word
+        union
+        select b.word, a.word, a.n from less a join words b on a.rest = b.word),
+    best as (
+        select word, count(*) as n_near, max(n) as best_n from near group by word),
+    smallest as (
+        select word, n_near, best_n, min(other collate "C") as best
+        from best join near using (word) where near.n = best_n group by all),
+    forms as materialized (
+        select words.word, words.n, coalesce(n_near, 0) as n_near,
+               case when best_n >= 2 * words.n then best end as form,
+               case when best_n >= 2 * words.n then best_n end as form_n
+        from words left join smallest using (word)),
+    chains(word, reached, steps) as (
+        select word, word, 0 from forms
+        union all
+        select c.word, f.form, steps + 1 from chains c join forms f on f.word = c.reached
+        where f.form is not null)
+    select forms.*, root
+    from forms join (select word, max_by(reached, steps) as root from chains group by word) using (word)"""
+
 OP13 = f"""
     with recursive {_CRC_TABLE},
     texts as (
@@ -148,5 +193,6 @@ SQL = {
     "op1_url_filter": OP1,
     "op3_minhash_near_dedup": OP3,
     "op8_quality_rules": OP8,
+    "op11_spelling_variants": OP11,
     "op13_sharding": OP13,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickloom.llm import (
-    decontaminate, html_extract, language_id, licenses, near_dedup, packing, quality_rules,
+    collocations, decontaminate, html_extract, language_id, licenses, near_dedup, packing, quality_rules,
     secret_scan, sharding, spelling, toxicity, url_filter)
 from clickloom.llm.sampling import fold
 from clickloom.llm.sql import SQL
@@ -126,6 +126,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
         "word", "n", "n_near", "form", "form_n", "root")
 
 
+@_query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.places(table(spark, sf_dir, "documents"))

@@ -169,6 +169,45 @@ OP11 = rf"""
     select forms.*, root
     from forms join (select word, max_by(reached, steps) as root from chains group by word) using (word)"""
 
+OP12 = rf"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang,
+               unnest(regexp_extract_all({_LOWER_AZ.format(text="text")},
+                                         '[^.,;:!?\x0A-\x0D]+')) as piece
+        from documents),
+    split as (
+        select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+    totals as (select lang, sum(len(w))::bigint as n from split group by lang),
+    grams as (
+        select lang, m, unnest(list_transform(range(1, len(w) - m + 2),
+                                              lambda i: w[i:i + m - 1])) as p
+        from split, range(1, 5) as u(m)),
+    f as materialized (
+        select lang, m, p, count(*) as a from grams group by lang, m, p having count(*) >= 30),
+    cuts as (
+        select f.lang, f.m, f.p, f.a, k, l.a as l, r.a as r,
+               (2000000::hugeint * f.a // (l.a + r.a))::bigint as score
+        from f, range(1, 4) as u(k), f as l, f as r
+        where k < f.m and l.lang = f.lang and l.p = f.p[:k] and r.lang = f.lang
+          and r.p = f.p[k + 1:]),
+    scored as (
+        select * from cuts
+        qualify row_number() over (partition by lang, p order by score, k) = 1),
+    parts as (
+        select lang, unnest(list_transform(range(1, f.m - j + 2), lambda i: p[i:i + j - 1])) as p, a
+        from f, range(2, 4) as v(j) where j < f.m),
+    longest as (select lang, p, max(a) as longer from parts group by lang, p),
+    survivors as (
+        select scored.*, array_to_string(scored.p, ' ') as phrase
+        from scored left join longest on longest.lang = scored.lang and longest.p = scored.p
+        where coalesce(100 * longer < 80 * a, true)),
+    ranked as (
+        select *, row_number() over (partition by lang order by score desc, a desc,
+                                     phrase collate "C") as rank
+        from survivors)
+    select lang, rank, phrase, a, l, r, n, score
+    from ranked join totals using (lang) where rank <= 2000"""
+
 OP13 = f"""
     with recursive {_CRC_TABLE},
     texts as (
@@ -194,5 +233,6 @@ SQL = {
     "op3_minhash_near_dedup": OP3,
     "op8_quality_rules": OP8,
     "op11_spelling_variants": OP11,
+    "op12_phrase_collocations": OP12,
     "op13_sharding": OP13,
 }

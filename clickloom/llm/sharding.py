@@ -3,8 +3,8 @@
 Records are ordered by a key, ties by id and then by row, so that even a third of all rows with one
 key can be cut anywhere. A sample is drawn in which a record is met in proportion to its size; the
 sample's quantiles are the splitters of ranges of about equal bytes. A range that still holds more
-than ``max_rows`` rows is overfull: it gets a sample and splitters of its own, and so on, until none
-is left. Totals per range, added up in order, say where each range begins; a running sum inside a
+than ``max_rows`` rows is overfull: it gets a sample, now of its rows, and splitters of its own, and so
+on, until none is left. Totals per range, added up in order, say where each range begins; a running sum inside a
 range then gives the place of every record among all bytes, and its shard. So the sample decides
 how the work is spread, while the shards are the same for every sample: consecutive records, whose
 bytes differ from an equal share by a record at either end.
@@ -58,17 +58,20 @@ def _totals(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")), "totals")
 
 
-def _splitters(rows: DataFrame, parents: DataFrame, plan: Plan) -> DataFrame:
-    """``(range, splitters)`` of the ranges in ``parents``, from a sample of their bytes.
+def _splitters(rows: DataFrame, parents: DataFrame, level: int, plan: Plan) -> DataFrame:
+    """``(range, splitters)`` of the ranges in ``parents``, from a sample.
 
-    A record of the mean size of a point is drawn once on average, a larger one as often as it is
-    larger. The draw is a hash, so it is the same when a task is run again.
+    The first sample is of bytes: a record as large as the bytes for one point is drawn once on
+    average, a larger one as often as it is larger. Later ones are of rows, as their ranges have
+    too many; there a few very long records would draw all points. The draw is a hash, so it is
+    the same when a task is run again, and another one on each level.
     """
     cells = 1 << 30
-    chance = F.pmod(F.xxhash64("order"), F.lit(cells)) / F.lit(float(cells))
-    rate = F.lit(float(plan.ranges * plan.draws)) / F.col("bytes")
-    sample = (rows.join(parents.select("range", "bytes"), "range")
-              .select("range", "order", F.floor(F.col("size") * rate + chance).alias("points"))
+    chance = F.pmod(F.xxhash64("order", F.lit(level)), F.lit(cells)) / F.lit(float(cells))
+    points = plan.ranges * plan.draws
+    mean = F.col("size") / F.col("bytes") if level == 0 else 1 / F.col("n")
+    sample = (rows.join(parents.select("range", "n", "bytes"), "range")
+              .select("range", "order", F.floor(mean * points + chance).alias("points"))
               .where("points > 0"))
     whole = Window.partitionBy("range")
     upto = F.sum("points").over(whole.orderBy("order"))
@@ -81,11 +84,11 @@ def _splitters(rows: DataFrame, parents: DataFrame, plan: Plan) -> DataFrame:
 
 def _ranged(keyed: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame, int]:
     """Rows with their range, the totals of the ranges, and how many levels were needed."""
-    rows = keyed.withColumn("range", F.lit(0).cast("long"))
-    totals = _totals(rows)
+    rows, totals = keyed, _totals(keyed)
     parents, level = totals, 0
-    while level == 0 or not parents.isEmpty():
-        cuts = materialize(_splitters(rows, parents, plan), "splitters")
+    # Ranges are numbered in a long. One that is still overfull then only makes a larger task.
+    while level == 0 or (plan.ranges ** (level + 1) < 1 << 62 and not parents.isEmpty()):
+        cuts = materialize(_splitters(rows, parents, level, plan), "splitters")
         # The first two levels have at most 1 and ``ranges`` parents with so many splitters each.
         cuts = F.broadcast(cuts) if level < 2 else cuts
         rows = (rows.join(cuts, "range", "left")
@@ -124,7 +127,7 @@ def shard(records: DataFrame, key: Column, size: Column, tie: Column,
     """
     # Records are kept whole in one column, so their names meet no others.
     keyed = materialize(records.select(
-        F.struct("*").alias("record"), size.alias("size"),
+        F.lit(0).cast("long").alias("range"), F.struct("*").alias("record"), size.alias("size"),
         F.struct(key.alias("key"), tie.alias("tie"),
                  F.monotonically_increasing_id().alias("row")).alias("order")), "keyed")
     total = keyed.agg(F.sum("size")).first()[0] or 1

@@ -183,23 +183,24 @@ OP12 = rf"""
                                               lambda i: w[i:i + m - 1])) as p
         from split, range(1, 5) as u(m)),
     f as materialized (
-        select lang, m, p, count(*) as a from grams group by lang, m, p having count(*) >= 30),
+        select lang, m, p, array_to_string(p, ' ') as phrase, count(*) as a
+        from grams group by lang, m, p having count(*) >= 30),
     cuts as (
-        select f.lang, f.m, f.p, f.a, k, l.a as l, r.a as r,
-               (2000000::hugeint * f.a // (l.a + r.a))::bigint as score
-        from f, range(1, 4) as u(k), f as l, f as r
-        where k < f.m and l.lang = f.lang and l.p = f.p[:k] and r.lang = f.lang
-          and r.p = f.p[k + 1:]),
+        select lang, m, phrase, a, k, array_to_string(p[:k], ' ') as head,
+               array_to_string(p[k + 1:], ' ') as tail
+        from f, range(1, 4) as u(k) where k < m),
     scored as (
-        select * from cuts
-        qualify row_number() over (partition by lang, p order by score, k) = 1),
+        select c.*, l.a as l, r.a as r, (2000000::hugeint * c.a // (l.a + r.a))::bigint as score
+        from cuts c join f l on l.lang = c.lang and l.phrase = c.head
+                    join f r on r.lang = c.lang and r.phrase = c.tail
+        qualify row_number() over (partition by c.lang, c.phrase order by score, k) = 1),
     parts as (
-        select lang, unnest(list_transform(range(1, f.m - j + 2), lambda i: p[i:i + j - 1])) as p, a
-        from f, range(2, 4) as v(j) where j < f.m),
-    longest as (select lang, p, max(a) as longer from parts group by lang, p),
+        select lang, a, unnest(list_transform(
+                   range(1, m - j + 2), lambda i: array_to_string(p[i:i + j - 1], ' '))) as phrase
+        from f, range(2, 4) as v(j) where j < m),
+    longest as (select lang, phrase, max(a) as longer from parts group by lang, phrase),
     survivors as (
-        select scored.*, array_to_string(scored.p, ' ') as phrase
-        from scored left join longest on longest.lang = scored.lang and longest.p = scored.p
+        select scored.* from scored left join longest using (lang, phrase)
         where coalesce(100 * longer < 80 * a, true)),
     ranked as (
         select *, row_number() over (partition by lang order by score desc, a desc,

@@ -19,6 +19,7 @@ from clickloom.registry.replay import ad_stream
 from clickloom.sources import adlog, storage, tables, testdata
 from clickloom.streaming import batch_log, clicks as streams
 from clickloom.streaming.batch_log import BatchLog
+from clickloom.streaming.published import Published
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -349,14 +350,11 @@ def sink_append(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _new_log(spark: SparkSession, name: str, schema) -> BatchLog:
-    return BatchLog(storage.new_run_dir(spark, name), schema).create(spark)
-
-
 @_query
 def sink_upsert_add(spark, sf_dir):
     clicks = _clicks(spark, sf_dir)
-    log = _new_log(spark, "sink-upsert-add", schemas.AD_USER_CLICK_COUNT)
+    log = batch_log.adding(storage.new_run_dir(spark, "sink-upsert-add"),
+                           schemas.AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "clickCount")
     log.append(ads.ad_user_daily_clicks(clicks.where(_is_morning())), 0)
     for _ in range(2):  # the second time is a replay
         log.append(ads.ad_user_daily_clicks(clicks.where(~_is_morning())), 1)
@@ -368,7 +366,8 @@ def sink_upsert_add(spark, sf_dir):
 def sink_upsert_set(spark, sf_dir):
     clicks = _clicks(spark, sf_dir)
     keys = ["date", "province", "city", "adid"]
-    log = _new_log(spark, "sink-upsert-set", schemas.AD_STAT)
+    log = batch_log.replacing(storage.new_run_dir(spark, "sink-upsert-set"), schemas.AD_STAT, keys,
+                              "clickCount")
     changed = clicks.where(~_is_morning()).select(keys).distinct()
     totals = ads.ad_region_counts(clicks).join(changed, keys, "left_semi")
     log.append(ads.ad_region_counts(clicks.where(_is_morning())), 0)
@@ -380,8 +379,8 @@ def sink_upsert_set(spark, sf_dir):
 @_query
 def sink_replace_groups(spark, sf_dir):
     clicks = _clicks(spark, sf_dir)
-    path = storage.new_run_dir(spark, "sink-replace")
-    log = _new_log(spark, "sink-replace-log", schemas.AD_PROVINCE_TOP3)
+    table = Published(storage.new_run_dir(spark, "sink-replace"), schemas.AD_PROVINCE_TOP3,
+                      ("date", "province"))
 
     def top3(part):
         return ads.ad_province_top3(ads.ad_province_counts(ads.ad_region_counts(part)))
@@ -389,14 +388,14 @@ def sink_replace_groups(spark, sf_dir):
     late = (ads.ad_clicks_admitted(clicks, THRESHOLD)
             .where(F.col("date") >= F.lit(CUT).cast("date")))
     for batch_id, part in enumerate((clicks, late)):
-        batch_log.replace_groups(top3(part), path, log, ["date", "province"], batch_id)
-    return _date_text(spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(path))
+        table.replace(top3(part), batch_id)
+    return _date_text(table.read(spark))
 
 
 @_query
 def sink_insert_new(spark, sf_dir):
     clicks = _clicks(spark, sf_dir)
-    log = _new_log(spark, "sink-insert-new", schemas.AD_BLACKLIST)
+    log = BatchLog(storage.new_run_dir(spark, "sink-insert-new"), schemas.AD_BLACKLIST)
     early = clicks.where(F.col("date") < F.lit(CUT).cast("date"))
     for batch_id, part in enumerate((early, clicks)):
         batch_log.insert_new(ads.ad_blacklist(part, THRESHOLD), log, ["userid"], batch_id)

@@ -11,8 +11,8 @@ from clickloom.streaming import clicks as streams
 from clickloom.streaming.clicks import AdTables
 
 _NO_PAUSE = {"processingTime": "0 seconds"}
-# Files of admitted clicks per micro-batch for the queries that only read them.
-_FILES_PER_BATCH = 64
+# Batches of admitted clicks per micro-batch for the queries that only read them.
+_ENTRIES_PER_BATCH = 16
 
 # Input per state partition.
 _BYTES_PER_PARTITION = 64 << 20
@@ -59,8 +59,7 @@ def run_days(session: SparkSession, prepared: str, days: list[str], tables: AdTa
     storage.make_dir(session, landing)
     admission = streams.start_admission(adlog.file_lines(session, landing), tables, _NO_PAUSE)
     upkeep = streams.start_user_clicks(
-        adlog.admitted_clicks(session, tables.admitted.path), tables, threshold,
-        trigger=_NO_PAUSE)
+        tables.admitted.stream(session), tables, threshold, trigger=_NO_PAUSE)
     try:
         for day in days:
             storage.rename(session, f"{prepared}/{day}", f"{landing}/{day}")
@@ -88,7 +87,7 @@ def ad_stream(spark: SparkSession, sf_dir: str, threshold: int, start=None) -> A
     tables = _replays[key]
     if start and (*key, start) not in _replays:
         session = stream_session(spark, size)
-        stream = adlog.admitted_clicks(session, tables.admitted.path, _FILES_PER_BATCH)
+        stream = tables.admitted.stream(session, _ENTRIES_PER_BATCH)
         start(stream, tables, trigger=streams.AVAILABLE_NOW).awaitTermination()
         _replays[(*key, start)] = tables
     return tables

@@ -36,7 +36,7 @@ def file_lines(spark: SparkSession, path: str, files_per_trigger: int | None = N
 
 def admitted_clicks(spark: SparkSession, path: str,
                     files_per_trigger: int | None = None) -> DataFrame:
-    """Parsed, admitted clicks as a stream, from the folder the admission query fills."""
+    """Parsed clicks as a stream, from a folder of Parquet files (admitted ones: ``ClickFeed``)."""
     reader = (spark.readStream.format("parquet")
               .schema(schemas.AD_CLICKS)
               .option("recursiveFileLookup", "true"))

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
@@ -93,6 +94,57 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, whole or not at all; false if there already is one of this name.
+
+    It is written under a hidden name and renamed without replacing: nobody reads half of it, and
+    of two writers one gets false. The rename of one file is atomic on HDFS, and on an object store
+    its target appears at once, whole.
+    """
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    fs, target = _path(spark, path)
+    target = fs.makeQualified(target)
+    hidden = hadoop.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    stream = fs.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files = hadoop.FileContext.getFileContext(
+        target.toUri(), context._jsc.hadoopConfiguration())
+    rename = getattr(hadoop, "Options$Rename")
+    options = context._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        files.rename(hidden, target, options)
+    except Py4JJavaError:
+        fs.delete(hidden, False)
+        if not fs.exists(target):
+            raise
+        return False
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, hadoop_path = _path(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible files directly below ``path``, sorted; none if there is no folder."""
+    fs, hadoop_path = _path(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile()]
+    return sorted(name for name in names if not name.startswith(("_", ".")))
+
+
 def child_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the visible folders directly below ``path``, sorted."""
     fs, hadoop_path = _path(spark, path)

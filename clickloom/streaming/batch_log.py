@@ -1,13 +1,18 @@
-"""Result tables of ``foreachBatch`` queries, kept as one folder per micro-batch.
-
-A micro-batch writes only what it changed. Its folder appears under its final name in one rename,
-after it has been written completely, and is never replaced: a batch that is replayed after a
-failure leaves the table as it is, and readers never see half a batch. The views at the end resolve
-the changes to the current rows.
+"""Result tables of ``foreachBatch`` queries, kept as runs of rows behind a commit log.
+
+A micro-batch writes what it changed into a folder of its own, a run, and commits it; a batch that
+is replayed after a failure finds itself committed and leaves the table as it is. Readers ask the
+log which runs count. Before a batch is added, runs are merged level by level: ``fan`` runs of one
+level become one of the next, with their rows resolved. So after n batches a key is in
+O(fan * log n) runs, and every row has been rewritten O(log n) times. The views at the end resolve
+the runs to the current rows.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,78 +20,153 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from clickloom.sources import storage
+from clickloom.streaming.commit_log import CommitLog
 
 BATCH = "batch_id"
+# Replaced folders stay so long, for readers that have begun with them.
+KEEP_SECONDS = 3600
+
+
+def refuse_others(spark: SparkSession, path: str, owner: str | None) -> str | None:
+    """The owner of a table from now on; an error if the running query is another one.
+
+    Batch numbers come from a checkpoint, so only the query that has it may add batches. A query
+    with a new checkpoint counts from 0 again; its batches would be taken for replays of those that
+    are here, and be lost.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if owner and query and owner != query:
+        raise RuntimeError(f"{path} belongs to a query with another checkpoint")
+    return owner or query
+
+
+def drop_retired(spark: SparkSession, path: str, retired: list, keep_seconds: int) -> list:
+    """Removes replaced folders that are old enough; returns the others. ``[folder, time]`` each."""
+    now = time.time()
+    for folder, since in retired:
+        if now - since > keep_seconds:
+            storage.remove(spark, f"{path}/{folder}")
+    return [[folder, since] for folder, since in retired if now - since <= keep_seconds]
+
+
+def due(levels: list[int], fan: int) -> int | None:
+    """The lowest level that has ``fan`` runs."""
+    return min((level for level in set(levels) if levels.count(level) >= fan), default=None)
 
 
 @dataclass(frozen=True)
 class BatchLog:
     path: str
     schema: StructType
-    # Columns that are folders within a batch, so that readers can leave days out.
+    # The day column, if days are folders within a run, so that readers can leave days out.
     by: tuple[str, ...] = ()
+    # Makes the rows of several runs (with ``batch_id``) those of one; without it runs stay apart.
+    resolve: Callable[[DataFrame], DataFrame] | None = None
+    fan: int = 8
+    keep_seconds: int = KEEP_SECONDS
 
-    def _batch_path(self, batch_id: int) -> str:
-        return f"{self.path}/{BATCH}={batch_id}"
+    @property
+    def _log(self) -> CommitLog:
+        return CommitLog(f"{self.path}/_commits")
 
-    def _staging_path(self, batch_id: int) -> str:
-        return f"{self.path}/_staging/{BATCH}={batch_id}"
+    def _state(self, spark: SparkSession) -> tuple[int, dict]:
+        version, state = self._log.latest(spark)
+        return version, {"last": -1, "owner": None, "runs": [], "retired": []} | state
 
     def create(self, spark: SparkSession) -> BatchLog:
         storage.make_dir(spark, self.path)
-        storage.make_dir(spark, f"{self.path}/_staging")
         return self
 
-    def append(self, rows: DataFrame, batch_id: int, keep_empty: bool = True) -> None:
-        """Add the rows of a batch, once.
-
-        The rows are written in any case, also on a replay: consuming them is what commits the
-        state of a stateful query.
-        """
+    def append(self, rows: DataFrame, batch_id: int, keep_empty: bool = True) -> bool:
+        """Add the rows of a batch, once; false if it is a replay."""
         spark = rows.sparkSession
-        self._refuse_others(spark)
-        staging, final = self._staging_path(batch_id), self._batch_path(batch_id)
+        version, state = self._state(spark)
+        state["owner"] = refuse_others(spark, self.path, state["owner"])
+        if batch_id <= state["last"]:
+            return False
+        version, state = self._merged(spark, version, state)
+        run, n = self._write(rows, batch_id, 0)
+        if n or keep_empty:
+            self._log.commit(spark, version + 1, state | {
+                "last": batch_id, "runs": [*state["runs"], run],
+                "retired": drop_retired(spark, self.path, state["retired"], self.keep_seconds)})
+        return True
+
+    def _write(self, rows: DataFrame, batch_id: int, level: int) -> tuple[dict, int]:
+        """A run that nobody reads yet, and how many rows it has."""
+        folder = f"{BATCH}={batch_id}/run={uuid.uuid4().hex}"
         written = Observation()
         writer = (rows.select(self.schema.names)
-                  .observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite"))
-        (writer.partitionBy(*self.by) if self.by else writer).parquet(staging)
-        if (keep_empty or written.get["rows"]) and not storage.exists(spark, final):
-            storage.rename(spark, staging, final)
-
-    def _refuse_others(self, spark: SparkSession) -> None:
-        """Batch numbers come from a checkpoint, so only the query that has it may add batches.
-
-        A query with a new checkpoint counts from 0 again; its batches would be taken for replays
-        of those that are here, and be lost.
-        """
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not query:
-            return
-        owners = f"{self.path}/_owner"
-        if not storage.exists(spark, owners):
-            storage.make_dir(spark, f"{owners}/id-{query}")
-        if storage.child_dirs(spark, owners) != [f"id-{query}"]:
-            raise RuntimeError(f"{self.path} belongs to a query with another checkpoint")
+                  .observe(written, F.count(F.lit(1)).alias("rows")).write)
+        (writer.partitionBy(*self.by) if self.by else writer).parquet(f"{self.path}/{folder}")
+        days = [d.split("=", 1)[1] for d in storage.child_dirs(rows.sparkSession,
+                                                               f"{self.path}/{folder}")]
+        return ({"folder": folder, "level": level, "last": batch_id, "days": days},
+                written.get["rows"])
+
+    def _merged(self, spark: SparkSession, version: int, state: dict) -> tuple[int, dict]:
+        """The state after all merges that are due; each is a version of its own."""
+        while self.resolve and (level := due([r["level"] for r in state["runs"]],
+                                             self.fan)) is not None:
+            old = [r for r in state["runs"] if r["level"] == level]
+            rows = self.resolve(self._of(spark, old))
+            rows = rows.hint("rebalance", *self.by) if self.by else rows
+            run, _ = self._write(rows, max(r["last"] for r in old), level + 1)
+            version, state = version + 1, state | {
+                "runs": [*(r for r in state["runs"] if r["level"] != level), run],
+                "retired": [*state["retired"], *([r["folder"], time.time()] for r in old)]}
+            self._log.commit(spark, version, state)
+        return version, state
+
+    def start_with(self, rows: DataFrame, batch_id: int, owner: str | None) -> None:
+        """The first run of a new table, with batches up to one that another table has had."""
+        version, state = self._state(rows.sparkSession)
+        run, _ = self._write(rows, batch_id, 0)
+        self._log.commit(rows.sparkSession, version + 1,
+                         state | {"last": batch_id, "owner": owner, "runs": [run]})
+
+    def owner(self, spark: SparkSession) -> str | None:
+        return self._state(spark)[1]["owner"]
 
     def last_batch(self, spark: SparkSession) -> int | None:
         """The highest number of a batch; none if there is no batch."""
-        names = [n for n in storage.child_dirs(spark, self.path) if n.startswith(f"{BATCH}=")]
-        return max((int(n.split("=")[1]) for n in names), default=None)
+        last = self._state(spark)[1]["last"]
+        return last if last >= 0 else None
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """All batches, with their number in ``batch_id``."""
+    def _of(self, spark: SparkSession, runs: list[dict],
+            days: Iterable[str] | None = None) -> DataFrame:
         schema = StructType([*self.schema.fields, StructField(BATCH, LongType())])
-        return spark.read.schema(schema).parquet(self.path)
+        folders = [f"{self.path}/{r['folder']}" for r in runs]
+        if days is not None:
+            wanted = set(days)
+            folders = [f"{folder}/{self.by[0]}={d}" for folder, r in zip(folders, runs)
+                       for d in r["days"] if d in wanted]
+        if not folders:
+            return spark.createDataFrame([], schema)
+        return (spark.read.schema(schema).option("basePath", self.path).parquet(*folders)
+                .select(schema.names))
+
+    def read(self, spark: SparkSession, days: Iterable[str] | None = None) -> DataFrame:
+        """All runs, with the number of their last batch in ``batch_id``; of some days if given.
+
+        Only the folders of these days are listed.
+        """
+        return self._of(spark, self._state(spark)[1]["runs"], days)
 
     def rows(self, spark: SparkSession) -> DataFrame:
         return self.read(spark).select(self.schema.names)
 
+    def _runs_of(self, spark: SparkSession, batch_id: int) -> list[dict]:
+        return [r for r in self._state(spark)[1]["runs"]
+                if r["last"] == batch_id and r["level"] == 0]
+
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The rows one batch added; none if it added nothing."""
-        path = self._batch_path(batch_id)
-        if not storage.exists(spark, path):
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(path).select(self.schema.names)
+        """The rows that the last batch added; none if it added nothing."""
+        return self._of(spark, self._runs_of(spark, batch_id)).select(self.schema.names)
+
+    def days_of(self, spark: SparkSession, batch_id: int) -> list[str]:
+        """The days that the last batch has rows of."""
+        return sorted({d for r in self._runs_of(spark, batch_id) for d in r["days"]})
 
 
 def current_sum(log: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -99,6 +179,18 @@ def current_last(log: DataFrame, keys: list[str], value: str) -> DataFrame:
     return log.groupBy(keys).agg(F.max_by(value, BATCH).alias(value))
 
 
+def adding(path: str, schema: StructType, keys: list[str], value: str, by: tuple[str, ...] = (),
+           **settings) -> BatchLog:
+    """A table whose batches hold increments."""
+    return BatchLog(path, schema, by, lambda log: current_sum(log, keys, value), **settings)
+
+
+def replacing(path: str, schema: StructType, keys: list[str], value: str,
+              by: tuple[str, ...] = (), **settings) -> BatchLog:
+    """A table whose batches hold new values."""
+    return BatchLog(path, schema, by, lambda log: current_last(log, keys, value), **settings)
+
+
 def insert_new(rows: DataFrame, log: BatchLog, keys: list[str], batch_id: int) -> None:
     """Add the rows whose keys no earlier batch has added."""
     earlier = log.read(rows.sparkSession).where(F.col(BATCH) < batch_id).select(keys)
@@ -115,25 +207,7 @@ def compact(log: BatchLog, resolved: DataFrame, target: BatchLog,
     """
     spark = resolved.sparkSession
     target.create(spark)
-    owners = f"{log.path}/_owner"
-    for owner in storage.child_dirs(spark, owners) if storage.exists(spark, owners) else []:
-        storage.make_dir(spark, f"{target.path}/_owner/{owner}")
     if last_batch is not None:
         days = [c for c in target.by if c in resolved.columns]
-        target.append(resolved.hint("rebalance", *days) if days else resolved, last_batch)
-
-
-def replace_groups(rows: DataFrame, path: str, log: BatchLog, groups: list[str],
-                   batch_id: int) -> None:
-    """Replace whole groups of a table that is partitioned by them.
-
-    The new rows are committed to ``log`` before the partitions are overwritten, so a replay after
-    a failure in between repeats the same overwrite. Every group is a small file of its own, so
-    the rows are spread to have the files created in parallel.
-    """
-    spark = rows.sparkSession
-    log.append(rows, batch_id)
-    (log.batch(spark, batch_id)
-     .repartition(spark.sparkContext.defaultParallelism, *groups)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*groups).parquet(path))
+        target.start_with(resolved.hint("rebalance", *days) if days else resolved, last_batch,
+                          log.owner(spark))

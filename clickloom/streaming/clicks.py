@@ -5,12 +5,13 @@ what it stored. ``start_user_clicks`` feeds the blacklist that the admission re-
 micro-batch. Every query has its own checkpoint and no state: a micro-batch adds the counts of its
 own clicks, once, and the current rows are sums. So no click is too late, whatever its day, how its
 files are cut into batches, or what clock it came from. Where a batch needs totals, it reads the
-stored counts of its own days.
+stored counts of its own days, which are in a few runs of growing size.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,15 +21,22 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.sources import storage
-from clickloom.sources.adlog import admitted_clicks, parse_ad_log
+from clickloom.sources.adlog import parse_ad_log
 from clickloom.streaming import batch_log
 from clickloom.streaming.batch_log import BatchLog
+from clickloom.streaming.click_feed import ClickFeed, ReaderProgress, read_entries, utc_day
+from clickloom.streaming.published import Published
 
 # Triggers: the running service, and "all there is, then stop".
 EVERY_BATCH = {"processingTime": "5 seconds"}
 AVAILABLE_NOW = {"availableNow": True}
 
+# Batches of the admission that a reader takes at once, when it has some to catch up with.
+ENTRIES_PER_BATCH = 1000
+
 _GENERATIONS = "generations"
+# The queries that read admitted clicks; a day is closed when all of them have.
+READERS = ("ad_user_clicks", "ad_region_counts", "ad_province_top3", "ad_click_trend")
 
 
 @dataclass(frozen=True)
@@ -48,51 +56,55 @@ class AdTables:
         names = storage.child_dirs(spark, done) if storage.exists(spark, done) else []
         return cls(root, max(map(int, names), default=0))
 
-    def _log(self, name: str, schema, *by: str) -> BatchLog:
+    def _path(self, name: str) -> str:
         suffix = f"-{self.generation}" if self.generation else ""
-        return BatchLog(f"{self.root}/{name}{suffix}", schema, by)
+        return f"{self.root}/{name}{suffix}"
+
+    def _counts(self, name: str, schema) -> BatchLog:
+        keys = [c for c in schema.names if c != "clickCount"]
+        return batch_log.adding(self._path(name), schema, keys, "clickCount", ("date",))
 
     @property
-    def admitted(self) -> BatchLog:
+    def admitted(self) -> ClickFeed:
         # Streams read this folder and remember its files, so it stays where it is.
-        return BatchLog(f"{self.root}/ad_clicks_admitted", schemas.AD_CLICKS)
+        return ClickFeed(f"{self.root}/ad_clicks_admitted")
 
     @property
     def blacklist(self) -> BatchLog:
-        return self._log("ad_blacklist", schemas.AD_BLACKLIST)
+        return BatchLog(self._path("ad_blacklist"), schemas.AD_BLACKLIST,
+                        resolve=lambda log: log.select("userid"))
 
     @property
     def user_clicks(self) -> BatchLog:
-        return self._log("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "date")
+        return self._counts("ad_user_click_count", schemas.AD_USER_CLICK_COUNT)
 
     @property
     def regions(self) -> BatchLog:
-        return self._log("ad_stat", schemas.AD_STAT, "date")
+        return self._counts("ad_stat", schemas.AD_STAT)
 
     @property
     def province_counts(self) -> BatchLog:
-        return self._log("ad_province_count", schemas.AD_PROVINCE_COUNT, "date")
-
-    @property
-    def province_top3_log(self) -> BatchLog:
-        return self._log("ad_province_top3_log", schemas.AD_PROVINCE_TOP3)
+        return self._counts("ad_province_count", schemas.AD_PROVINCE_COUNT)
 
     @property
-    def province_top3(self) -> str:
-        return f"{self.root}/ad_province_top3"
+    def province_top3(self) -> Published:
+        return Published(f"{self.root}/ad_province_top3", schemas.AD_PROVINCE_TOP3,
+                         ("date", "province"))
 
     @property
     def trend(self) -> BatchLog:
-        return self._log("ad_click_trend", schemas.AD_MINUTE_COUNT, "date")
+        return self._counts("ad_click_trend", schemas.AD_MINUTE_COUNT)
+
+    def progress(self, name: str) -> ReaderProgress:
+        return ReaderProgress(f"{self.root}/progress/{name}")
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
     def create(self, spark: SparkSession) -> AdTables:
         for log in (self.admitted, self.blacklist, self.user_clicks, self.regions,
-                    self.province_counts, self.province_top3_log, self.trend):
+                    self.province_counts, self.province_top3, self.trend):
             log.create(spark)
-        storage.make_dir(spark, self.province_top3)
         return self
 
 
@@ -105,30 +117,39 @@ def _start(stream: DataFrame, name: str, tables: AdTables, write, trigger: dict,
             .start())
 
 
-def start_admission(lines: DataFrame, tables: AdTables,
-                    trigger: dict = EVERY_BATCH) -> StreamingQuery:
+def _start_reader(clicks: DataFrame, name: str, tables: AdTables, write,
+                  trigger: dict) -> StreamingQuery:
+    """A query over clicks, or over the entries of the feed, which name the clicks of a batch."""
+    def write_entries(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        entries = read_entries(row["value"] for row in batch.collect())
+        write(tables.admitted.clicks(spark, entries), batch_id)
+        tables.progress(name).done(spark, batch_id, [e["day"] for e in entries])
+
+    return _start(clicks, name, tables, write_entries if clicks.columns == ["value"] else write,
+                  trigger, mode="append")
+
+
+def start_admission(lines: DataFrame, tables: AdTables, trigger: dict = EVERY_BATCH,
+                    today: Callable[[], dt.date] = utc_day) -> StreamingQuery:
     """Parse the log, drop the clicks of users on the blacklist, store the others.
 
     The blacklist is read anew in every micro-batch. Malformed lines are dropped and counted: the
-    query's progress reports ``lines`` and ``malformed`` under ``ad_log``.
+    query's progress reports ``lines`` and ``malformed`` under ``ad_log``. Days on which clicks
+    arrived, by ``today``, are closed when they are over and all readers have done with them.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        barred = tables.blacklist.rows(batch.sparkSession)
-        tables.admitted.append(ads.drop_blacklisted(batch, barred), batch_id)
+        spark, day = batch.sparkSession, today()
+        tables.admitted.close_days(spark, [tables.progress(name) for name in READERS], day)
+        barred = tables.blacklist.rows(spark)
+        tables.admitted.append(ads.drop_blacklisted(batch, barred), batch_id, day)
 
     return _start(parse_ad_log(lines, "ad_log"), "ad_admission", tables, write, trigger, mode="append")
 
 
 def _in_days_of(log: BatchLog, spark: SparkSession, batch_id: int) -> DataFrame:
-    """What the log has, up to a batch, for the days of that batch."""
-    days = log.batch(spark, batch_id).select("date").distinct()
-    ends = days.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
-    earlier = log.read(spark).where(F.col(batch_log.BATCH) <= batch_id)
-    if ends["low"] is None:
-        return earlier.limit(0)
-    # The bounds are literals, so other days are not even listed as files to read.
-    return earlier.where(F.col("date").between(F.lit(ends["low"]), F.lit(ends["high"]))).join(
-        days, "date", "left_semi")
+    """What the log has for the days of its last batch; no other days are listed."""
+    return log.read(spark, log.days_of(spark, batch_id))
 
 
 def start_user_clicks(clicks: DataFrame, tables: AdTables,
@@ -146,7 +167,7 @@ def start_user_clicks(clicks: DataFrame, tables: AdTables,
         batch_log.insert_new(ads.over_threshold(totals, threshold), tables.blacklist,
                              ["userid"], batch_id)
 
-    return _start(clicks, "ad_user_clicks", tables, write, trigger, mode="append")
+    return _start_reader(clicks, "ad_user_clicks", tables, write, trigger)
 
 
 def start_region_counts(clicks: DataFrame, tables: AdTables,
@@ -155,26 +176,39 @@ def start_region_counts(clicks: DataFrame, tables: AdTables,
     def write(batch: DataFrame, batch_id: int) -> None:
         tables.regions.append(ads.ad_region_counts(batch), batch_id)
 
-    return _start(clicks, "ad_region_counts", tables, write, trigger, mode="append")
+    return _start_reader(clicks, "ad_region_counts", tables, write, trigger)
 
 
 def start_province_top3(clicks: DataFrame, tables: AdTables, top: int = ads.TOP_ADS,
                         trigger: dict = EVERY_BATCH) -> StreamingQuery:
     """The most clicked ads per day and province, refreshed with every micro-batch.
 
-    The lists of the batch's days are made from the stored counts of those days. The lists of a
-    day, a few rows per province, are one partition of the table and are replaced together.
+    Counts only grow, so an ad that the batch has no click of can stay in a list or leave it, not
+    enter it: the new lists of a province come from its old ones and the new totals of the batch's
+    ads. They are published together, and readers see either the old or the new ones.
     """
+    keys = ["date", "province", "adid"]
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         counts = ads.ad_province_counts(ads.ad_region_counts(batch))
         tables.province_counts.append(counts, batch_id)
-        totals = batch_log.current_sum(_in_days_of(tables.province_counts, spark, batch_id),
-                                       ["date", "province", "adid"], "clickCount")
-        batch_log.replace_groups(ads.ad_province_top3(totals, top), tables.province_top3,
-                                 tables.province_top3_log, ["date"], batch_id)
-
-    return _start(clicks, "ad_province_top3", tables, write, trigger, mode="append")
+        if tables.province_top3.note(spark) == top:
+            changed = tables.province_counts.batch(spark, batch_id).select(keys)
+            totals = batch_log.current_sum(
+                _in_days_of(tables.province_counts, spark, batch_id)
+                .join(changed, keys, "left_semi"), keys, "clickCount")
+            old = tables.province_top3.read(spark, tables.province_counts.days_of(spark, batch_id))
+            groups = changed.select(keys[:2]).distinct()
+            candidates = (old.join(groups, keys[:2], "left_semi")
+                          .join(changed, keys, "left_anti").select(*keys, "clickCount")
+                          .union(totals))
+        else:  # the first lists, or lists of another length
+            candidates = batch_log.current_sum(tables.province_counts.read(spark), keys,
+                                               "clickCount")
+        tables.province_top3.replace(ads.ad_province_top3(candidates, top), batch_id, top)
+
+    return _start_reader(clicks, "ad_province_top3", tables, write, trigger)
 
 
 def start_click_trend(clicks: DataFrame, tables: AdTables,
@@ -184,7 +218,7 @@ def start_click_trend(clicks: DataFrame, tables: AdTables,
         minutes = ads.minute_counts(batch).withColumn("date", F.to_date("minute_start"))
         tables.trend.append(minutes, batch_id)
 
-    return _start(clicks, "ad_click_trend", tables, write, trigger, mode="append")
+    return _start_reader(clicks, "ad_click_trend", tables, write, trigger)
 
 
 def start_all(lines: DataFrame, tables: AdTables, threshold: int = ads.BLACKLIST_THRESHOLD,
@@ -192,7 +226,7 @@ def start_all(lines: DataFrame, tables: AdTables, threshold: int = ads.BLACKLIST
     """The whole service on a stream of log lines; wait with ``spark.streams``."""
     spark = lines.sparkSession
     tables.create(spark)
-    admitted = admitted_clicks(spark, tables.admitted.path)
+    admitted = tables.admitted.stream(spark, ENTRIES_PER_BATCH)
     return [
         start_admission(lines, tables, trigger),
         start_user_clicks(admitted, tables, threshold, trigger=trigger),
@@ -215,7 +249,7 @@ def region_counts(spark: SparkSession, tables: AdTables) -> DataFrame:
 
 
 def province_top3(spark: SparkSession, tables: AdTables) -> DataFrame:
-    return spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(tables.province_top3)
+    return tables.province_top3.read(spark)
 
 
 def minute_counts(spark: SparkSession, tables: AdTables, since: dt.datetime | None = None,
@@ -265,9 +299,6 @@ def compact(spark: SparkSession, tables: AdTables) -> AdTables:
     def summed(log: BatchLog, *keys: str) -> DataFrame:
         return batch_log.current_sum(log.read(spark), list(keys), "clickCount")
 
-    def last(log: BatchLog) -> DataFrame:
-        return log.batch(spark, log.last_batch(spark) or 0)
-
     steps = [
         (tables.blacklist, target.blacklist, lambda log: log.rows(spark)),
         (tables.user_clicks, target.user_clicks,
@@ -276,8 +307,6 @@ def compact(spark: SparkSession, tables: AdTables) -> AdTables:
          lambda log: summed(log, "date", "province", "city", "adid")),
         (tables.province_counts, target.province_counts,
          lambda log: summed(log, "date", "province", "adid")),
-        # Needed only to repeat the last batch.
-        (tables.province_top3_log, target.province_top3_log, last),
         (tables.trend, target.trend, lambda log: summed(log, "date", "minute_start", "adid")),
     ]
     for old, new, resolved in steps:

@@ -37,13 +37,12 @@ class Run:
 
     def count(self):
         return self._finish(streams.start_user_clicks(
-            adlog.admitted_clicks(self.session, self.tables.admitted.path), self.tables,
+            self.tables.admitted.stream(self.session), self.tables,
             self.threshold, trigger=AVAILABLE_NOW))
 
     def read(self, start):
         return self._finish(start(
-            adlog.admitted_clicks(self.session, self.tables.admitted.path), self.tables,
-            trigger=AVAILABLE_NOW))
+            self.tables.admitted.stream(self.session), self.tables, trigger=AVAILABLE_NOW))
 
     def feed(self, *texts):
         self.admit(*texts)
@@ -132,7 +131,7 @@ def test_another_checkpoint_is_refused(spark, run):
 
     moved = Moved(run.tables.root)
     query = streams.start_region_counts(
-        adlog.admitted_clicks(run.session, moved.admitted.path), moved, trigger=AVAILABLE_NOW)
+        moved.admitted.stream(run.session), moved, trigger=AVAILABLE_NOW)
     with pytest.raises(Exception, match="another checkpoint"):
         query.awaitTermination()
     assert streams.region_counts(spark, run.tables).agg({"clickCount": "sum"}).first()[0] == 2

@@ -6,6 +6,7 @@ from clickloom.plans import jobs
 from clickloom.sources import adlog, jdbc, storage, tables
 from clickloom.streaming import batch_log
 from clickloom.streaming.batch_log import BatchLog
+from clickloom.streaming.published import Published
 from tests.tables import PARAMS, action, actions, click, lines, rows, users
 
 KEYS = ["date", "userid", "adid"]
@@ -205,27 +206,27 @@ def _groups(spark, *values):
     return df.selectExpr("cast(d as date) as date", "province", "adid", "clickCount")
 
 
+def _top_lists(spark):
+    return Published(storage.new_run_dir(spark, "top"), schemas.AD_PROVINCE_TOP3,
+                     ("date", "province")).create(spark)
+
+
 def test_groups_are_replaced_whole(spark):
-    path, log = storage.new_run_dir(spark, "top"), _log(spark, schemas.AD_PROVINCE_TOP3)
-    groups = ["date", "province"]
+    table = _top_lists(spark)
     first = _groups(spark, ("2024-01-01", "0", 1, 5), ("2024-01-01", "0", 2, 4),
                     ("2024-01-01", "1", 1, 3))
     second = _groups(spark, ("2024-01-01", "0", 3, 9))
-    batch_log.replace_groups(first, path, log, groups, 0)
+    table.replace(first, 0)
     for _ in range(2):
-        batch_log.replace_groups(second, path, log, groups, 1)
-    found = spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(path)
-    assert rows(found, "province", "adid", "clickCount") == [("0", 3, 9), ("1", 1, 3)]
-
-
-def test_a_replay_repeats_the_committed_rows(spark):
-    """A crash after the log, before the table: the replay must not compute anew."""
-    path, log = storage.new_run_dir(spark, "top"), _log(spark, schemas.AD_PROVINCE_TOP3)
-    committed = _groups(spark, ("2024-01-01", "0", 1, 5))
-    log.append(committed, 0)
-    batch_log.replace_groups(_groups(spark, ("2024-01-01", "0", 2, 1)), path, log,
-                             ["date", "province"], 0)
-    assert rows(spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(path), "adid") == [(1,)]
+        table.replace(second, 1)
+    assert rows(table.read(spark), "province", "adid", "clickCount") == [("0", 3, 9), ("1", 1, 3)]
+
+
+def test_a_replay_changes_nothing(spark):
+    table = _top_lists(spark)
+    assert table.replace(_groups(spark, ("2024-01-01", "0", 1, 5)), 0)
+    assert not table.replace(_groups(spark, ("2024-01-01", "0", 2, 1)), 0)
+    assert rows(table.read(spark), "adid") == [(1,)]
 
 
 def test_failed_rename_is_an_error(spark):

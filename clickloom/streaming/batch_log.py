@@ -71,14 +71,19 @@ class BatchLog:
 
     def _state(self, spark: SparkSession) -> tuple[int, dict]:
         version, state = self._log.latest(spark)
-        return version, {"last": -1, "owner": None, "runs": [], "retired": []} | state
+        return version, {"last": -1, "owner": None, "runs": [], "retired": [],
+                         "note": None} | state
 
     def create(self, spark: SparkSession) -> BatchLog:
         storage.make_dir(spark, self.path)
         return self
 
-    def append(self, rows: DataFrame, batch_id: int, keep_empty: bool = True) -> bool:
-        """Add the rows of a batch, once; false if it is a replay."""
+    def append(self, rows: DataFrame, batch_id: int, keep_empty: bool = True,
+               note: object = None) -> bool:
+        """Add the rows of a batch, once; false if it is a replay.
+
+        ``note`` says how the rows were made, for the batches to come.
+        """
         spark = rows.sparkSession
         version, state = self._state(spark)
         state["owner"] = refuse_others(spark, self.path, state["owner"])
@@ -88,10 +93,16 @@ class BatchLog:
         run, n = self._write(rows, batch_id, 0)
         if n or keep_empty:
             self._log.commit(spark, version + 1, state | {
-                "last": batch_id, "runs": [*state["runs"], run],
+                "last": batch_id, "runs": [*state["runs"], run], "note": note,
                 "retired": drop_retired(spark, self.path, state["retired"], self.keep_seconds)})
+        else:
+            storage.remove(spark, f"{self.path}/{run['folder']}")
         return True
 
+    def note(self, spark: SparkSession) -> object:
+        """The note of the last batch."""
+        return self._state(spark)[1]["note"]
+
     def _write(self, rows: DataFrame, batch_id: int, level: int) -> tuple[dict, int]:
         """A run that nobody reads yet, and how many rows it has."""
         folder = f"{BATCH}={batch_id}/run={uuid.uuid4().hex}"
@@ -154,7 +165,9 @@ class BatchLog:
         return self._of(spark, self._state(spark)[1]["runs"], days)
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark).select(self.schema.names)
+        """The current rows: all of them, resolved if the table says how."""
+        held = self.read(spark)
+        return (self.resolve(held) if self.resolve else held).select(self.schema.names)
 
     def _runs_of(self, spark: SparkSession, batch_id: int) -> list[dict]:
         return [r for r in self._state(spark)[1]["runs"]

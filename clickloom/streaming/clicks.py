@@ -72,7 +72,7 @@ class AdTables:
     @property
     def blacklist(self) -> BatchLog:
         return BatchLog(self._path("ad_blacklist"), schemas.AD_BLACKLIST,
-                        resolve=lambda log: log.select("userid"))
+                        resolve=lambda log: log.select("userid").distinct())
 
     @property
     def user_clicks(self) -> BatchLog:
@@ -141,7 +141,7 @@ def start_admission(lines: DataFrame, tables: AdTables, trigger: dict = EVERY_BA
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, day = batch.sparkSession, today()
         tables.admitted.close_days(spark, [tables.progress(name) for name in READERS], day)
-        barred = tables.blacklist.rows(spark)
+        barred = tables.blacklist.read(spark)
         tables.admitted.append(ads.drop_blacklisted(batch, barred), batch_id, day)
 
     return _start(parse_ad_log(lines, "ad_log"), "ad_admission", tables, write, trigger, mode="append")
@@ -155,17 +155,27 @@ def _in_days_of(log: BatchLog, spark: SparkSession, batch_id: int) -> DataFrame:
 def start_user_clicks(clicks: DataFrame, tables: AdTables,
                       threshold: int = ads.BLACKLIST_THRESHOLD,
                       trigger: dict = EVERY_BATCH) -> StreamingQuery:
-    """Clicks per day, user and ad, and the blacklist that follows from their sums."""
+    """Clicks per day, user and ad, and the blacklist that follows from their sums.
+
+    A batch bars the users whose total reaches the threshold with it, so it does not look at the
+    list as it is: a user who is barred for two ads is in it twice until runs are merged. With
+    another threshold than before, all totals are looked at once.
+    """
+    keys = ["date", "userid", "adid"]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        tables.user_clicks.append(ads.ad_user_daily_clicks(batch), batch_id)
-        keys = ["date", "userid", "adid"]
-        changed = tables.user_clicks.batch(spark, batch_id).select(keys)
-        totals = batch_log.current_sum(
-            _in_days_of(tables.user_clicks, spark, batch_id).join(changed, keys, "left_semi"),
-            keys, "clickCount")
-        batch_log.insert_new(ads.over_threshold(totals, threshold), tables.blacklist,
-                             ["userid"], batch_id)
+        spark, log = batch.sparkSession, tables.user_clicks
+        log.append(ads.ad_user_daily_clicks(batch), batch_id)
+        same = tables.blacklist.note(spark) == threshold
+        if same:
+            added = log.batch(spark, batch_id).withColumnRenamed("clickCount", "added")
+            totals = (_in_days_of(log, spark, batch_id).join(added, keys)
+                      .groupBy(*keys, "added").agg(F.sum("clickCount").alias("clickCount"))
+                      .where(F.col("clickCount") - F.col("added") < threshold))
+        else:
+            totals = log.rows(spark)
+        tables.blacklist.append(ads.over_threshold(totals, threshold).distinct(), batch_id,
+                                keep_empty=not same, note=threshold)
 
     return _start_reader(clicks, "ad_user_clicks", tables, write, trigger)
 

@@ -151,6 +151,24 @@ def test_replacing_tables_keep_the_newest_value_over_merges(spark):
                 "userid", "clickCount") == [(0, 6), (1, 4), (2, 5)]
 
 
+def test_users_are_barred_when_they_reach_the_threshold(spark):
+    """By any ad and day, once; a lower threshold bars those who had reached it before."""
+    run = Run(spark, threshold=3)
+    run.feed(*[click(1, user=1)] * 2, *[click(1, user=2)] * 3, *[click(1, user=3)] * 2)
+    assert rows(run.tables.blacklist.rows(spark)) == [(2,)]
+    run.feed(click(1, user=1), *[click(2, user=3)] * 2)
+    assert rows(run.tables.blacklist.rows(spark)) == [(1,), (2,)]
+    # A batch that bars nobody adds nothing.
+    listed = len(run.tables.blacklist.read(spark).inputFiles())
+    run.feed(click(4, user=4))
+    assert len(run.tables.blacklist.read(spark).inputFiles()) == listed
+    run.threshold = 2
+    run.feed(click(4, user=5))
+    assert rows(run.tables.blacklist.rows(spark)) == [(1,), (2,), (3,)]
+    run.feed(click(4, user=4))
+    assert rows(run.tables.blacklist.rows(spark)) == [(1,), (2,), (3,), (4,)]
+
+
 # --- published lists ------------------------------------------------------------------------
 
 def lists(spark, *values):

@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest = commands.add_parser("ingest", help="store delivered actions by day")
     ingest.add_argument("--input", default=tables.ACTION_TABLE, help="table with text times")
     ingest.add_argument("--output", required=True, help="folder for --actions of the jobs")
+    ingest.add_argument("--delivery", help="id of the delivery; a second run of it changes nothing")
     compact = commands.add_parser("compact", help="compact the tables of a stopped ads service")
     compact.add_argument("--output", required=True, help="folder of tables and checkpoints")
     ads = commands.add_parser("ads")
@@ -58,7 +59,7 @@ def main(arguments: list[str] | None = None) -> None:
         streams.compact(spark, AdTables.newest(spark, args.output))
         return
     if args.job == "ingest":
-        seen = tables.ingest_actions(spark.table(args.input), args.output)
+        seen = tables.ingest_actions(spark.table(args.input), args.output, args.delivery)
         print(f"{seen['rows']} rows, {seen['rejected']} rejected")
         return
     with storage.staged_until_done(spark):

@@ -10,8 +10,8 @@ from clickloom.functions.partitioning import forget_partitioning
 BLACKLIST_THRESHOLD = 100
 TOP_ADS = 3
 
-# Minutes of the recent-hour window.
-_HOUR = 60
+# Minutes of the recent-hour window, and of the stretches its running sums are cut into.
+_HOUR, _DAY = 60, 24 * 60
 
 
 def ad_user_daily_clicks(clicks: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def ad_user_daily_clicks(clicks: DataFrame) -> DataFrame:
 def add_stored(counts: DataFrame, stored: DataFrame) -> DataFrame:
     """Running totals of the keys in ``counts``: what a table has stored so far, plus the counts.
 
-    For totals kept in a table; a streaming query has them in its state.
+    For totals kept in a table that is read and written anew.
     """
     keys = ["date", "userid", "adid"]
     before = stored.select(*keys, F.col("clickCount").alias("before"))
@@ -105,18 +105,28 @@ def ad_recent_hour(counts: DataFrame) -> DataFrame:
     A minute's clicks are in the 60 windows that start up to it. Instead of 60 rows a minute gives
     two: its clicks enter with the first of these windows and leave after the last. The running
     sum per ad then is the content of every window; it changes only at these rows, and in between
-    it is repeated. An ad has at most two such rows per minute, however many clicks it drew.
+    it is repeated. The sum runs within an ad and day, where there are at most two such rows per
+    minute; what is carried into a day comes from the totals of the ad's earlier days, a row each.
+    So an ad is spread over its days, however many clicks it drew.
     """
     minute = F.expr("unix_seconds(minute_start) div 60")
     changes = (counts
                .select("adid", F.inline(F.array(
                    F.struct((minute - (_HOUR - 1)).alias("first"), F.col("clickCount").alias("n")),
                    F.struct((minute + 1).alias("first"), (-F.col("clickCount")).alias("n")))))
-               .groupBy("adid", "first").agg(F.sum("n").alias("n")))
-    by_ad = Window.partitionBy("adid").orderBy("first")
-    return (changes
-            .withColumn("clickCount", F.sum("n").over(by_ad))
-            .withColumn("next", F.lead("first").over(by_ad))
+               .withColumn("day", F.floor(F.col("first") / _DAY))
+               # The partitioning of all that follows on the ad and day.
+               .repartition("adid", "day")
+               .groupBy("adid", "day", "first").agg(F.sum("n").alias("n")))
+    by_ad = Window.partitionBy("adid").orderBy("day")
+    days = (changes.groupBy("adid", "day")
+            .agg(F.sum("n").alias("total"), F.min("first").alias("begins"))
+            .select("adid", "day", (F.sum("total").over(by_ad) - F.col("total")).alias("carried"),
+                    F.lead("begins").over(by_ad).alias("next_begins")))
+    by_day = Window.partitionBy("adid", "day").orderBy("first")
+    return (changes.join(days, ["adid", "day"])
+            .withColumn("clickCount", F.col("carried") + F.sum("n").over(by_day))
+            .withColumn("next", F.coalesce(F.lead("first").over(by_day), "next_begins"))
             .where(F.col("clickCount") > 0)
             .select("adid", "clickCount", F.explode(F.expr("sequence(first, next - 1)")).alias("m"))
             .select(F.expr("timestamp_seconds(m * 60)").alias("window_start"),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.functions import columns as C
 from clickloom.params import TaskParams
+from clickloom.sources import storage
+from clickloom.sources.commit_log import CommitLog, Conflict
 
 ACTION_TABLE = "user_visit_action"
 USER_TABLE = "user_info"
@@ -46,19 +50,54 @@ def write_actions(actions: DataFrame, path: str, mode: str = "append") -> None:
     actions.hint("rebalance", "date").write.mode(mode).partitionBy("date").parquet(path)
 
 
-def ingest_actions(raw: DataFrame, path: str) -> dict[str, int]:
-    """Add delivered actions to a stored table; returns how many ``rows`` came and how many were
-    ``rejected``, because their day or time is missing or cannot be read."""
+def ingest_actions(raw: DataFrame, path: str, delivery: str | None = None) -> dict[str, int]:
+    """Add a delivery of actions to a stored table, once.
+
+    Returns how many ``rows`` came and how many were ``rejected``, because their day or time is
+    missing or cannot be read. The rows are written into a folder of their own, which counts as
+    soon as the table's log names it for the ``delivery``: of a failed run nothing is seen, and a
+    second run of a delivery changes nothing. Without an id each call is a delivery of its own.
+    """
+    spark = raw.sparkSession
+    log, delivery = _deliveries(path), delivery or uuid.uuid4().hex
+    version, state = log.latest(spark)
+    if delivery in state:
+        return state[delivery]["seen"]
     seen = Observation()
     bad = F.col("date").isNull() | F.col("action_time").isNull()
     typed = actions_from_text(raw).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected"))
-    write_actions(typed.where(~bad), path)
-    return seen.get
+    folder = f"delivery={uuid.uuid4().hex}"
+    write_actions(typed.where(~bad), f"{path}/{folder}")
+    while True:
+        try:
+            log.commit(spark, version + 1,
+                       {**state, delivery: {"folder": folder, "seen": seen.get}})
+            return seen.get
+        except Conflict:  # another delivery came first, or the same one by another run
+            version, state = log.latest(spark)
+            if delivery in state:
+                storage.remove(spark, f"{path}/{folder}")
+                return state[delivery]["seen"]
+
+
+def _deliveries(path: str) -> CommitLog:
+    return CommitLog(f"{path}/_commits")
 
 
 def read_actions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.ACTIONS).parquet(path)
+    """Stored actions: the deliveries that are in the log, and what :func:`write_actions` stored."""
+    if not storage.exists(spark, _deliveries(path).path):
+        return spark.read.schema(schemas.ACTIONS).parquet(path)
+    _, state = _deliveries(path).latest(spark)
+    folders = [f"{path}/{d['folder']}" for d in state.values()]
+    delivered = (spark.read.schema(schemas.ACTIONS).option("basePath", path).parquet(*folders)
+                 .select(schemas.ACTIONS.names))
+    stored = [f"{path}/{d}" for d in storage.child_dirs(spark, path) if d.startswith("date=")]
+    if not stored:
+        return delivered
+    return delivered.union(spark.read.schema(schemas.ACTIONS).option("basePath", path)
+                           .parquet(*stored).select(schemas.ACTIONS.names))
 
 
 def actions_in_range(actions: DataFrame, params: TaskParams) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from clickloom.sources import storage
-from clickloom.streaming.commit_log import CommitLog
+from clickloom.sources.commit_log import CommitLog
 
 BATCH = "batch_id"
 # Replaced folders stay so long, for readers that have begun with them.

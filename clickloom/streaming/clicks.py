@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.sources import storage
-from clickloom.sources.adlog import parse_ad_log
+from clickloom.sources.adlog import BEFORE_MILLIS, parse_ad_log
 from clickloom.streaming import batch_log
 from clickloom.streaming.batch_log import BatchLog
 from clickloom.streaming.click_feed import ClickFeed, ReaderProgress, read_entries, utc_day
@@ -131,7 +131,8 @@ def _start_reader(clicks: DataFrame, name: str, tables: AdTables, write,
 
 
 def start_admission(lines: DataFrame, tables: AdTables, trigger: dict = EVERY_BATCH,
-                    today: Callable[[], dt.date] = utc_day) -> StreamingQuery:
+                    today: Callable[[], dt.date] = utc_day,
+                    before_millis: int = BEFORE_MILLIS) -> StreamingQuery:
     """Parse the log, drop the clicks of users on the blacklist, store the others.
 
     The blacklist is read anew in every micro-batch. Malformed lines are dropped and counted: the
@@ -144,7 +145,8 @@ def start_admission(lines: DataFrame, tables: AdTables, trigger: dict = EVERY_BA
         barred = tables.blacklist.read(spark)
         tables.admitted.append(ads.drop_blacklisted(batch, barred), batch_id, day)
 
-    return _start(parse_ad_log(lines, "ad_log"), "ad_admission", tables, write, trigger, mode="append")
+    return _start(parse_ad_log(lines, "ad_log", before_millis), "ad_admission", tables, write,
+                  trigger, mode="append")
 
 
 def _in_days_of(log: BatchLog, spark: SparkSession, batch_id: int) -> DataFrame:

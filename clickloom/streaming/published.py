@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from clickloom.sources import storage
 from clickloom.streaming.batch_log import KEEP_SECONDS, drop_retired, refuse_others
-from clickloom.streaming.commit_log import CommitLog
+from clickloom.sources.commit_log import CommitLog
 
 
 @dataclass(frozen=True)

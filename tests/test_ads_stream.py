@@ -262,3 +262,31 @@ def test_days_are_written_in_order(spark):
     log = lines(spark, click(3), click(1), click(2), click(1))
     assert write_days(log, path) == ["day=2024-01-01", "day=2024-01-02", "day=2024-01-03"]
     assert spark.read.text(f"{path}/day=2024-01-01").count() == 2
+
+
+def test_recent_hour_carries_over_midnight_and_empty_days(spark):
+    """Windows that begin on the day before their clicks, and days without any click of an ad."""
+    texts = [click(day, ad=1, second=s) for day, s in (
+        (1, 43000), (1, 43199), (2, -43200), (2, -40000), (5, -43190), (9, 5))]
+    texts += [click(2, ad=2, second=-43200)] * 3
+    clicks = adlog.parse_ad_log(lines(spark, *texts))
+    windows = (clicks.groupBy(F.window("click_time", "60 minutes", "1 minute").alias("w"), "adid")
+               .count().select("w.start", "w.end", "adid", "count"))
+    found = ads.ad_recent_hour(ads.minute_counts(clicks))
+    assert rows(found) == rows(windows)
+
+
+def test_recent_hour_spreads_an_ad_over_its_days(spark):
+    texts = [click(day, ad=1, second=s * 60) for day in range(1, 29) for s in range(0, 600, 7)]
+    counts = ads.minute_counts(adlog.parse_ad_log(lines(spark, *texts)))
+    found = ads.ad_recent_hour(counts)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    running = [p for p in plan.split("\n") if "Window [" in p and "sum(n" in p]
+    assert running and all("adid" in p and "day" in p.split("], [")[1] for p in running)
+    assert "hashpartitioning(adid" in plan
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = ads.ad_recent_hour(counts).select(F.spark_partition_id().alias("p"))
+        assert spread.distinct().count() > 4  # all rows are of one ad
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -11,7 +11,7 @@ from clickloom.operators import ads
 from clickloom.sources import adlog, storage
 from clickloom.streaming import batch_log, clicks as streams
 from clickloom.streaming.click_feed import ClickFeed, ReaderProgress
-from clickloom.streaming.commit_log import CommitLog, Conflict
+from clickloom.sources.commit_log import CommitLog, Conflict
 from clickloom.streaming.published import Published
 from tests.tables import click, lines, rows
 from tests.test_ads_stream import Run

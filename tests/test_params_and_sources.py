@@ -7,6 +7,7 @@ from clickloom import TaskParams, schemas
 from clickloom.functions import columns as C
 from clickloom.functions.sql import register_sql_functions
 from clickloom.sources import adlog, storage, tables
+from clickloom.sources.commit_log import CommitLog
 from tests.tables import PARAMS, action, actions, lines, rows
 
 LENIENT = """{startDate:"2020-06-01", endDate:"2020-06-30", startAge: 20, endAge: 50,
@@ -118,3 +119,71 @@ def test_kafka_options():
 
 def test_shared_dir_is_the_configured_one(spark):
     assert storage.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def delivered(spark, *sessions, day="2024-01-10"):
+    data = [tuple(action(session=s, time=f"{day} 08:00:00")[name] for name in
+                  schemas.ACTIONS_TEXT.names) for s in sessions]
+    return spark.createDataFrame(data, schemas.ACTIONS_TEXT)
+
+
+def sessions_of(df):
+    return sorted(r["session_id"] for r in df.collect())
+
+
+def test_a_delivery_counts_once(spark):
+    path = storage.new_run_dir(spark, "actions")
+    for _ in range(2):  # the second run is that of a scheduler that retries
+        seen = tables.ingest_actions(delivered(spark, "a", "b"), path, "monday")
+        assert seen == {"rows": 2, "rejected": 0}
+    tables.ingest_actions(delivered(spark, "c", day="2024-01-11"), path, "tuesday")
+    for _ in range(2):  # without an id each is a delivery
+        tables.ingest_actions(delivered(spark, "d"), path)
+    assert sessions_of(tables.read_actions(spark, path)) == ["a", "b", "c", "d", "d"]
+    params = TaskParams.of("2024-01-11", "2024-01-11")
+    found = tables.actions_in_range(tables.read_actions(spark, path), params)
+    assert sessions_of(found) == ["c"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-11" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    # What was stored before there was a log is read along.
+    tables.write_actions(tables.actions_from_text(delivered(spark, "old")), path)
+    assert sessions_of(tables.read_actions(spark, path)) == ["a", "b", "c", "d", "d", "old"]
+
+
+def test_a_failed_delivery_is_not_seen(spark, monkeypatch):
+    path = storage.new_run_dir(spark, "actions")
+    tables.ingest_actions(delivered(spark, "a"), path, "monday")
+    with monkeypatch.context() as patch:
+        patch.setattr(CommitLog, "commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            tables.ingest_actions(delivered(spark, "b"), path, "tuesday")
+    assert sessions_of(tables.read_actions(spark, path)) == ["a"]
+    tables.ingest_actions(delivered(spark, "b"), path, "tuesday")
+    assert sessions_of(tables.read_actions(spark, path)) == ["a", "b"]
+
+
+def test_deliveries_at_one_time(spark, monkeypatch):
+    """Another run commits between the write and the commit, once of another and once of the same."""
+    path = storage.new_run_dir(spark, "actions")
+    write = tables.write_actions
+
+    def overtaken(by):
+        def run(actions, folder, mode="append"):
+            write(actions, folder, mode)
+            monkeypatch.setattr(tables, "write_actions", write)
+            tables.ingest_actions(delivered(spark, by), path, by)
+        return run
+
+    monkeypatch.setattr(tables, "write_actions", overtaken("x"))
+    tables.ingest_actions(delivered(spark, "a"), path, "a")
+    assert sessions_of(tables.read_actions(spark, path)) == ["a", "x"]
+    monkeypatch.setattr(tables, "write_actions", overtaken("b"))
+    tables.ingest_actions(delivered(spark, "b"), path, "b")
+    assert sessions_of(tables.read_actions(spark, path)) == ["a", "b", "x"]
+
+
+def test_no_clock_decides_which_lines_are_clicks(spark):
+    late = lines(spark, "4102444799999 0 0 1 2", "4102444800000 0 0 1 2", "1704067200000 0 0 1 2")
+    assert adlog.parse_ad_log(late).count() == 2
+    assert adlog.rejected_lines(late).count() == 1
+    assert adlog.parse_ad_log(late, before_millis=1704067200001).count() == 1

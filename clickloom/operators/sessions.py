@@ -112,11 +112,16 @@ def _class_count(length: str, name: str, first: int, last: int | None) -> Column
     return F.expr(f"count_if({length} >= {first}{upper}) as {name}")
 
 
-def session_bucket_counts(sessions: DataFrame) -> DataFrame:
-    """One row: the number of sessions, in all and in every length class."""
+def bucket_aggregates() -> list[Column]:
+    """The number of sessions, in all and in every length class."""
     counts = [_class_count("visit_length", *visit) for visit in VISIT_CLASSES]
     counts += [_class_count("step_length", *step) for step in STEP_CLASSES]
-    return sessions.agg(F.count(F.lit(1)).alias("session_count"), *counts)
+    return [F.count(F.lit(1)).alias("session_count"), *counts]
+
+
+def session_bucket_counts(sessions: DataFrame) -> DataFrame:
+    """One row: the number of sessions, in all and in every length class."""
+    return sessions.agg(*bucket_aggregates())
 
 
 def session_ratio(bucket_counts: DataFrame, task_id: str) -> DataFrame:

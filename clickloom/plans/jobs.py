@@ -20,12 +20,12 @@ def session_job(actions: DataFrame, users: DataFrame, params: TaskParams,
                 seed: str = "0") -> dict[str, DataFrame]:
     """Session statistics, session sample, top categories and their top sessions."""
     in_range = tables.actions_in_range(actions, params)
-    kept = storage.materialize(
+    kept, bucket_counts = storage.materialize_counted(
         sessions.filtered_sessions(in_range, users, params)
-        .select("session_id", "start_time", "visit_length", "step_length"), "sessions")
+        .select("session_id", "start_time", "visit_length", "step_length"), "sessions",
+        *sessions.bucket_aggregates())
     return {
-        "session_aggr_stat": sessions.session_ratio(
-            sessions.session_bucket_counts(kept), params.task_id),
+        "session_aggr_stat": sessions.session_ratio(bucket_counts, params.task_id),
         "session_random_extract": sampling.session_extract(in_range, kept, params, seed=seed),
         "session_detail": sampling.session_extract_detail(in_range, kept, params, seed=seed),
         **top_lists(sessions.filtered_actions(in_range, kept), params),

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_dirs: dict[str, str] = {}
 # Folders of the scopes that are open, the innermost last.
@@ -51,6 +51,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str, *counts: Column) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`materialize`, with aggregates of the rows as a second table of one row.
+
+    They are observed while the rows are written, so the rows are not read again for them. Every
+    partition is written, and counted, by one successful task, also if others failed before.
+    """
+    seen = Observation()
+    stored = materialize(df.observe(seen, *counts), name)
+    # Where Spark finds out on the way that there are no rows, nothing may be observed.
+    row = seen.get or stored.agg(*counts).first().asDict()
+    schema = stored.agg(*counts).schema
+    return stored, df.sparkSession.createDataFrame([tuple(row[c] for c in schema.names)], schema)
+
+
 @contextlib.contextmanager
 def staged_until_done(spark: SparkSession) -> Iterator[None]:
     """Removes, at the end, what :func:`materialize` has written inside.

@@ -237,3 +237,16 @@ def test_failed_rename_is_an_error(spark):
 def test_top_ads_ties(spark):
     counts = _groups(spark, *[("2024-01-01", "0", ad, 5) for ad in (9, 8, 7, 6)])
     assert rows(ads.ad_province_top3(counts), "adid") == [(6,), (7,), (8,)]
+
+
+def test_counts_come_with_the_write(spark):
+    """The same row as a pass of its own gives, without a scan of the staged sessions."""
+    acts = actions(spark, *[action(f"s{k % 40}", k * 13, page=k % 5) for k in range(300)])
+    facts = sessions.session_facts(acts).repartition(7)
+    stored, found = storage.materialize_counted(facts, "facts", *sessions.bucket_aggregates())
+    assert found.collect() == sessions.session_bucket_counts(stored).collect()
+    assert found.schema == sessions.session_bucket_counts(stored).schema
+    assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString()
+    none, found = storage.materialize_counted(facts.where("step_length < 0"), "none",
+                                              *sessions.bucket_aggregates())
+    assert none.count() == 0 and set(found.first()) == {0}

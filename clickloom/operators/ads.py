@@ -105,28 +105,31 @@ def ad_recent_hour(counts: DataFrame) -> DataFrame:
     A minute's clicks are in the 60 windows that start up to it. Instead of 60 rows a minute gives
     two: its clicks enter with the first of these windows and leave after the last. The running
     sum per ad then is the content of every window; it changes only at these rows, and in between
-    it is repeated. The sum runs within an ad and day, where there are at most two such rows per
-    minute; what is carried into a day comes from the totals of the ad's earlier days, a row each.
-    So an ad is spread over its days, however many clicks it drew.
+    it is repeated. The sum runs within an ad and a day of window starts: where midnight is among a
+    minute's 60 windows, its clicks leave before it and enter again, so every day begins and ends
+    with nothing. An ad is spread over its days, with at most two rows per minute, however many
+    clicks it drew.
     """
-    minute = F.expr("unix_seconds(minute_start) div 60")
-    changes = (counts
-               .select("adid", F.inline(F.array(
-                   F.struct((minute - (_HOUR - 1)).alias("first"), F.col("clickCount").alias("n")),
-                   F.struct((minute + 1).alias("first"), (-F.col("clickCount")).alias("n")))))
-               .withColumn("day", F.floor(F.col("first") / _DAY))
-               # The partitioning of all that follows on the ad and day.
-               .repartition("adid", "day")
+    spans = counts.selectExpr(
+        "adid", "clickCount as n", f"unix_seconds(minute_start) div 60 - {_HOUR - 1} as low",
+        "unix_seconds(minute_start) div 60 + 1 as high").selectExpr(
+        "*", f"cast(floor(low / {_DAY}) as long) as day",
+        f"cast(floor((high - 1) / {_DAY}) as long) as last_day")
+
+    def change(day: str, first: str, n: str) -> str:
+        return f"named_struct('day', {day}, 'first', {first}, 'n', {n})"
+
+    enter, leave = change("day", "low", "n"), change("last_day", "high", "-n")
+    midnight = f"last_day * {_DAY}"
+    changes = (spans
+               .select("adid", F.expr(f"""inline(if(day = last_day, array({enter}, {leave}),
+                   array({enter}, {change("day", midnight, "-n")},
+                         {change("last_day", midnight, "n")}, {leave})))"""))
                .groupBy("adid", "day", "first").agg(F.sum("n").alias("n")))
-    by_ad = Window.partitionBy("adid").orderBy("day")
-    days = (changes.groupBy("adid", "day")
-            .agg(F.sum("n").alias("total"), F.min("first").alias("begins"))
-            .select("adid", "day", (F.sum("total").over(by_ad) - F.col("total")).alias("carried"),
-                    F.lead("begins").over(by_ad).alias("next_begins")))
     by_day = Window.partitionBy("adid", "day").orderBy("first")
-    return (changes.join(days, ["adid", "day"])
-            .withColumn("clickCount", F.col("carried") + F.sum("n").over(by_day))
-            .withColumn("next", F.coalesce(F.lead("first").over(by_day), "next_begins"))
+    return (changes
+            .withColumn("clickCount", F.sum("n").over(by_day))
+            .withColumn("next", F.lead("first").over(by_day))
             .where(F.col("clickCount") > 0)
             .select("adid", "clickCount", F.explode(F.expr("sequence(first, next - 1)")).alias("m"))
             .select(F.expr("timestamp_seconds(m * 60)").alias("window_start"),

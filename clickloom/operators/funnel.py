@@ -18,28 +18,29 @@ def page_runs(actions: DataFrame) -> DataFrame:
     Columns: session_id, action_time, page_id, visits, next_page_id (null at a session's end).
     Visits of one page at one time in one session cannot be told apart, so they are one row with a
     count; this shrinks copied rows before the first shuffle. The page that follows is looked up
-    per session and hour; only the last visit of an hour looks further, among the first and last
-    visits of the session's other hours. So a session with a large share of all actions spreads
+    per session and hour; the last visit of an hour is followed by the first one of the session's
+    next hour, and these are a row per hour. So a session with a large share of all actions spreads
     over as many tasks as it has hours. Ties in time are ordered by page.
     """
+    # A struct as key: sessions without an id are one session, also in the join.
+    chunk = F.struct("session_id", F.date_trunc(_CHUNK, "action_time").alias("hour"))
     runs = (actions.groupBy("session_id", "action_time", "page_id")
             .agg(F.count(F.lit(1)).alias("visits"))
-            .withColumn("chunk", F.date_trunc(_CHUNK, "action_time")))
-    in_chunk = Window.partitionBy("session_id", "chunk").orderBy("action_time", "page_id")
-    linked = (runs
-              .withColumn("next_page_id", F.lead("page_id").over(in_chunk))
-              .withColumn("is_first", F.row_number().over(in_chunk) == 1))
-    columns = ["session_id", "action_time", "page_id", "visits", "next_page_id"]
-
-    inner = linked.where(F.col("next_page_id").isNotNull()).select(columns)
-    across = Window.partitionBy("session_id").orderBy("action_time", "page_id")
-    is_last = F.col("next_page_id").isNull()
-    edges = (linked.where(is_last | F.col("is_first"))
-             .withColumn("across_page_id", F.lead("page_id").over(across))
-             .where(is_last)
-             .withColumn("next_page_id", F.col("across_page_id"))
-             .select(columns))
-    return inner.unionByName(edges)
+            .withColumn("chunk", chunk)
+            # The partitioning of all that follows on the chunk; both sides of the join read it.
+            .repartition("chunk"))
+    by_session = Window.partitionBy("chunk.session_id").orderBy("chunk.hour")
+    first = F.min(F.struct("action_time", "page_id")).alias("first")
+    later = (runs.groupBy("chunk").agg(first)
+             .select("chunk", F.lead("first.page_id").over(by_session).alias("later_page_id")))
+    in_chunk = Window.partitionBy("chunk").orderBy("action_time", "page_id")
+    # A missing next page may also be a visit without a page, so the last visit is marked.
+    return (runs.withColumns({"next_page_id": F.lead("page_id").over(in_chunk),
+                              "is_last": F.lead(F.lit(True)).over(in_chunk).isNull()})
+            .join(later, "chunk")
+            .select("session_id", "action_time", "page_id", "visits",
+                    F.when(F.col("is_last"), F.col("later_page_id"))
+                    .otherwise(F.col("next_page_id")).alias("next_page_id")))
 
 
 def page_pairs(runs: DataFrame) -> DataFrame:

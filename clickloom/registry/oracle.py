@@ -271,6 +271,16 @@ _CATEGORIES = "select category_id, click_count, order_count, pay_count from cate
 _SELECTS = {
     "actions_in_range": f"select {_ACTION_COLUMNS} from actions",
     "product_clicks_in_range": "select city_id, click_product_id from product_clicks",
+    "ingest_deliveries": f"select {_ACTION_COLUMNS} from user_visit_action",
+    "day_and_minute_keys": """
+        select strftime(date, '%Y%m%d') as day_key, strftime(action_time, '%Y%m%d%H%M') as minute_key,
+               count(*) as n, strftime(date, '%Y-%m-%d') as date
+        from user_visit_action group by 1, 2, 4""",
+    "sql_functions": """
+        select product_id, c.city_id || ':' || city_name as city,
+               json_extract_string(extend_info, '$.product_status') as status
+        from product_info p join city_info c on c.city_id = p.product_id % 10""",
+    "sessions_of_json_task": f"select {_SESSION_COLUMNS} from kept",
     "session_summary": f"select {_SESSION_COLUMNS} from summary",
     "filtered_sessions": f"select {_SESSION_COLUMNS} from kept",
     "filtered_sessions_by_interest": f"select {_SESSION_COLUMNS} from kept_by_interest",
@@ -365,6 +375,8 @@ _SELECTS = {
         f"{_ratio('task-1', 'kept')} union all {_ratio('task-2', 'kept_by_interest')}",
     "sink_upsert_add":
         f'select {_DAY}, userid, adid, clicks as "clickCount" from user_counts_all',
+    "sink_levelled_totals":
+        f'select {_DAY}, userid, adid, clicks as "clickCount" from user_counts_all',
     "sink_upsert_set": f"""
         select {_DAY}, province, city, adid, count(*) as "clickCount" from clicks
         group by clicks.date, province, city, adid""",

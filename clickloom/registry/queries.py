@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas, sinks
 from clickloom.functions import columns as C
+from clickloom.functions.sql import register_sql_functions
 from clickloom.operators import ads, areas, categories, funnel, sampling, sessions
 from clickloom.params import TaskParams
 from clickloom.plans import jobs
@@ -94,8 +95,50 @@ def product_clicks_in_range(spark, sf_dir):
     return tables.product_clicks_in_range(testdata.actions(spark, sf_dir), PARAMS)
 
 
+@_query
+def ingest_deliveries(spark, sf_dir):
+    """Two deliveries of actions with text times, each run twice, stored by day and read back."""
+    path = storage.new_run_dir(spark, "ingest")
+    delivered = _action_text(testdata.actions(spark, sf_dir))
+    for name, part in (("early", F.col("date") < CUT), ("late", F.col("date") >= CUT)):
+        for _ in range(2):  # the second run changes nothing
+            tables.ingest_actions(delivered.where(part), path, name)
+    return _action_text(tables.read_actions(spark, path))
+
+
+@_query
+def day_and_minute_keys(spark, sf_dir):
+    """Days and minutes as keys of actions, and the day that a key stands for."""
+    keyed = testdata.actions(spark, sf_dir).select(
+        C.date_key(F.col("date")).alias("day_key"),
+        C.minute_key(F.col("action_time")).alias("minute_key"))
+    return (keyed.groupBy("day_key", "minute_key").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("date", C.date_text(C.parse_date_key(F.col("day_key")))))
+
+
+@_query
+def sql_functions(spark, sf_dir):
+    """The SQL functions, in SQL text over views of the tables."""
+    jobs.publish_views({"product_info": testdata.products(spark, sf_dir),
+                        "city_info": tables.city_dimension(spark)})
+    register_sql_functions(spark)
+    return spark.sql("""
+        select product_id, concat_long_string(c.city_id, city_name, ':') as city,
+               get_json_field(extend_info, 'product_status') as status
+        from product_info p join city_info c on c.city_id = p.product_id % 10""")
+
+
 # Sessions.
 
+@_query
+def sessions_of_json_task(spark, sf_dir):
+    """The sessions that a task's parameters choose, given as lenient JSON."""
+    params = TaskParams.from_json(spark, """{startDate: "2024-01-03", endDate: "2024-01-28",
+        startAge: 20, endAge: 50, sex: "male", professionals: "BUILDING,MACHINERY", cities: "",
+        keywords: "", categoryIds: ""}""")
+    return _session_text(_kept_sessions(spark, sf_dir, params))
+
+
 @_query
 def session_summary(spark, sf_dir):
     return _session_text(sessions.session_summary(_actions(spark, sf_dir),
@@ -362,6 +405,19 @@ def sink_upsert_add(spark, sf_dir):
                                             "clickCount"))
 
 
+@_query
+def sink_levelled_totals(spark, sf_dir):
+    """Running totals from a batch for each seventh of the users, in runs that are merged two by two."""
+    clicks = _clicks(spark, sf_dir)
+    keys = ["date", "userid", "adid"]
+    log = batch_log.adding(storage.new_run_dir(spark, "sink-levels"), schemas.AD_USER_CLICK_COUNT,
+                           keys, "clickCount", ("date",), fan=2)
+    for batch_id in range(7):
+        part = clicks.where(F.pmod("userid", F.lit(7)) == batch_id)
+        log.append(ads.ad_user_daily_clicks(part), batch_id)
+    return _date_text(batch_log.current_sum(log.read(spark), keys, "clickCount"))
+
+
 @_query
 def sink_upsert_set(spark, sf_dir):
     clicks = _clicks(spark, sf_dir)

@@ -23,7 +23,7 @@ class Conflict(RuntimeError):
 class CommitLog:
     path: str
     # Versions that stay for readers that have listed them.
-    keep: int = 100
+    keep: int = 20
 
     @staticmethod
     def _name(version: int) -> str:

@@ -90,3 +90,21 @@ def test_no_task_orders_a_whole_session(spark):
     acts = actions(spark, *_walk("hot", *[1, 2] * 50, step=1800))
     plan = funnel.page_runs(acts)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") >= 2 and "chunk" in plan
+
+
+def test_one_window_over_the_visits_of_an_hour(spark):
+    acts = actions(spark, *[action(f"s{k % 3}", k * 700, page=k % 4) for k in range(60)])
+    plan = funnel.page_pairs(funnel.page_runs(acts))._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.split("\n") if "- Window [" in line]
+    assert sum("action_time" in line for line in windows) == 1 and len(windows) == 2
+
+
+def test_sessions_and_pages_without_an_id(spark):
+    """A missing session id is one session over its hours; a missing page is a page like others."""
+    acts = actions(spark, *[action(None, k * 2000, page=p) for k, p in enumerate([1, None, 2, 3])],
+                   action("s", 0, page=None), action("s", 9000, page=7))
+    found = funnel.page_runs(acts).orderBy("session_id", "action_time").select(
+        "session_id", "page_id", "next_page_id").collect()
+    assert [tuple(r) for r in found] == [
+        (None, 1, None), (None, None, 2), (None, 2, 3), (None, 3, None), ("s", None, 7),
+        ("s", 7, None)]

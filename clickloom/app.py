@@ -35,6 +35,8 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--delivery", help="id of the delivery; a second run of it changes nothing")
     compact = commands.add_parser("compact", help="compact the tables of a stopped ads service")
     compact.add_argument("--output", required=True, help="folder of tables and checkpoints")
+    sweep = commands.add_parser("sweep", help="remove what killed batches of an ads service left")
+    sweep.add_argument("--output", required=True, help="folder of tables and checkpoints")
     ads = commands.add_parser("ads")
     ads.add_argument("--servers", required=True, help="Kafka servers")
     ads.add_argument("--topic", required=True)
@@ -58,6 +60,10 @@ def main(arguments: list[str] | None = None) -> None:
     if args.job == "compact":
         streams.compact(spark, AdTables.newest(spark, args.output))
         return
+    if args.job == "sweep":
+        swept = streams.sweep(spark, AdTables.newest(spark, args.output))
+        print(f"{len(swept)} folders removed")
+        return
     if args.job == "ingest":
         seen = tables.ingest_actions(spark.table(args.input), args.output, args.delivery)
         print(f"{seen['rows']} rows, {seen['rejected']} rejected")

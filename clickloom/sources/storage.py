@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -159,6 +160,19 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(name for name in names if not name.startswith(("_", ".")))
 
 
+def remove_if_empty(spark: SparkSession, path: str) -> None:
+    """Delete a folder that holds nothing."""
+    fs, hadoop_path = _path(spark, path)
+    if fs.exists(hadoop_path) and not fs.listStatus(hadoop_path):
+        fs.delete(hadoop_path, False)
+
+
+def seconds_unchanged(spark: SparkSession, path: str) -> float:
+    """How long ago a folder was last added to, by the file system's clock and this machine's."""
+    fs, hadoop_path = _path(spark, path)
+    return time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000
+
+
 def child_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the visible folders directly below ``path``, sorted."""
     fs, hadoop_path = _path(spark, path)

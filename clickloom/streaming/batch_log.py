@@ -46,9 +46,23 @@ def drop_retired(spark: SparkSession, path: str, retired: list, keep_seconds: in
     for folder, since in retired:
         if now - since > keep_seconds:
             storage.remove(spark, f"{path}/{folder}")
+            if "/" in folder:
+                storage.remove_if_empty(spark, f"{path}/{folder.rsplit('/', 1)[0]}")
     return [[folder, since] for folder, since in retired if now - since <= keep_seconds]
 
 
+def sweep(spark: SparkSession, path: str, folders: Iterable[str], named: set[str],
+          keep_seconds: int) -> list[str]:
+    """Removes folders that no commit names and that nobody has written to for a while."""
+    swept = [folder for folder in folders if folder not in named
+             and storage.seconds_unchanged(spark, f"{path}/{folder}") > keep_seconds]
+    for folder in swept:
+        storage.remove(spark, f"{path}/{folder}")
+        if "/" in folder:
+            storage.remove_if_empty(spark, f"{path}/{folder.rsplit('/', 1)[0]}")
+    return swept
+
+
 def due(levels: list[int], fan: int) -> int | None:
     """The lowest level that has ``fan`` runs."""
     return min((level for level in set(levels) if levels.count(level) >= fan), default=None)
@@ -129,6 +143,15 @@ class BatchLog:
             self._log.commit(spark, version, state)
         return version, state
 
+    def sweep(self, spark: SparkSession, keep_seconds: int = KEEP_SECONDS) -> list[str]:
+        """Upkeep: remove what batches have written that were killed before their commit."""
+        folders = [f"{batch}/{run}" for batch in storage.child_dirs(spark, self.path)
+                   for run in storage.child_dirs(spark, f"{self.path}/{batch}")]
+        # Listed first: a run that is committed in between is then named.
+        state = self._state(spark)[1]
+        named = {r["folder"] for r in state["runs"]} | {folder for folder, _ in state["retired"]}
+        return sweep(spark, self.path, folders, named, keep_seconds)
+
     def start_with(self, rows: DataFrame, batch_id: int, owner: str | None) -> None:
         """The first run of a new table, with batches up to one that another table has had."""
         version, state = self._state(rows.sparkSession)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickloom import schemas
 from clickloom.sources import storage
-from clickloom.streaming.batch_log import KEEP_SECONDS, drop_retired, refuse_others
+from clickloom.streaming.batch_log import KEEP_SECONDS, drop_retired, refuse_others, sweep
 from clickloom.sources.commit_log import CommitLog
 
 OPEN = "open"
@@ -127,6 +127,25 @@ class ClickFeed:
         return self._read(spark, [*closed.values(), *(e["folder"] for e in open_entries
                                                       if e["day"] not in closed)])
 
+    def sweep(self, spark: SparkSession, keep_seconds: int = KEEP_SECONDS) -> list[str]:
+        """Upkeep: remove what batches have written that were killed before their entry."""
+        folders = [f"{parent}/{run}" for day in self._children(spark, "data")
+                   for parent in self._children(spark, day)
+                   for run in storage.child_dirs(spark, f"{self.path}/{parent}")]
+        folders += [f"{day}/{run}" for day in self._children(spark, "closed")
+                    for run in storage.child_dirs(spark, f"{self.path}/{day}")]
+        entries = self.entries(spark, self.open_days(spark))
+        state = self._state(spark)[1]
+        retired = tuple(f"{folder}/" for folder, _ in state["retired"])
+        named = {e["folder"] for e in entries} | set(state["days"].values())
+        named |= {folder for folder in folders if retired and folder.startswith(retired)}
+        return sweep(spark, self.path, folders, named, keep_seconds)
+
+    def _children(self, spark: SparkSession, folder: str) -> list[str]:
+        if not storage.exists(spark, f"{self.path}/{folder}"):
+            return []
+        return [f"{folder}/{name}" for name in storage.child_dirs(spark, f"{self.path}/{folder}")]
+
     def close_days(self, spark: SparkSession, readers: list[ReaderProgress],
                    today: dt.date) -> list[str]:
         """Close the days before ``today`` that all readers are sure of; returns them.

@@ -101,10 +101,14 @@ class AdTables:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    @property
+    def all(self) -> tuple[BatchLog | ClickFeed | Published, ...]:
+        return (self.admitted, self.blacklist, self.user_clicks, self.regions,
+                self.province_counts, self.province_top3, self.trend)
+
     def create(self, spark: SparkSession) -> AdTables:
-        for log in (self.admitted, self.blacklist, self.user_clicks, self.regions,
-                    self.province_counts, self.province_top3, self.trend):
-            log.create(spark)
+        for table in self.all:
+            table.create(spark)
         return self
 
 
@@ -299,6 +303,16 @@ def recent_hour(spark: SparkSession, tables: AdTables, since: dt.datetime | None
 
 # Upkeep.
 
+def sweep(spark: SparkSession, tables: AdTables,
+          keep_seconds: int = batch_log.KEEP_SECONDS) -> list[str]:
+    """Remove the folders that killed batches have left, also while the service runs; returns them.
+
+    A folder that was written to within ``keep_seconds`` may be a batch's that is still running.
+    """
+    return [f"{table.path}/{folder}" for table in tables.all
+            for folder in table.sweep(spark, keep_seconds)]
+
+
 def compact(spark: SparkSession, tables: AdTables) -> AdTables:
     """Write the counting tables anew with one batch each, and return the new tables.
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from clickloom.sources import storage
-from clickloom.streaming.batch_log import KEEP_SECONDS, drop_retired, refuse_others
+from clickloom.streaming.batch_log import KEEP_SECONDS, drop_retired, refuse_others, sweep
 from clickloom.sources.commit_log import CommitLog
 
 
@@ -73,6 +73,13 @@ class Published:
                         *([r, time.time()] for r in sorted(unused))]})
         return True
 
+    def sweep(self, spark: SparkSession, keep_seconds: int = KEEP_SECONDS) -> list[str]:
+        """Upkeep: remove what batches have written that were killed before their commit."""
+        folders = storage.child_dirs(spark, self.path)
+        state = self._state(spark)[1]
+        named = set(state["days"].values()) | {folder for folder, _ in state["retired"]}
+        return sweep(spark, self.path, folders, named, keep_seconds)
+
     def _of(self, spark: SparkSession, state: dict, days: Iterable[str] | None) -> DataFrame:
         wanted = state["days"] if days is None else set(days) & set(state["days"])
         folders = [f"{self.path}/{state['days'][d]}/{self.groups[0]}={d}" for d in sorted(wanted)]

@@ -288,3 +288,34 @@ def test_the_service_lists_open_days_only(spark):
     assert run.tables.admitted.rows(spark).count() == 12
     for read in (streams.user_clicks, streams.region_counts, streams.click_trend):
         assert read(spark, run.tables).agg({"clickCount": "sum"}).first()[0] == 12
+
+
+def test_what_killed_batches_left_is_swept(spark, killed):
+    run = Run(spark, threshold=1)
+    for feed in range(2):
+        run.feed(click(1, user=feed), click(2, user=feed))
+        run.read(streams.start_province_top3)
+    tables = run.tables
+    before = [rows(read(spark, tables)) for read in (streams.user_clicks, streams.province_top3)]
+    admitted = users_of(tables.admitted.rows(spark))
+    late = clicks_of(spark, 8)
+    revive = killed()
+    with pytest.raises(Killed):
+        tables.user_clicks.append(ads.ad_user_daily_clicks(late), 7)
+    revive()
+    revive = killed()
+    with pytest.raises(Killed):
+        tables.province_top3.replace(lists(spark, (0, "0", 9, 9)), 7)
+    revive()
+    revive = killed(target=storage, name="put_new")
+    with pytest.raises(Killed):
+        tables.admitted.append(late, 7, dt.date(2024, 1, 1))
+    revive()
+    assert streams.sweep(spark, tables) == []  # they may still be at work
+    swept = streams.sweep(spark, tables, keep_seconds=-1)
+    assert len(swept) == 3 and streams.sweep(spark, tables, keep_seconds=-1) == []
+    assert [rows(read(spark, tables)) for read in (streams.user_clicks,
+                                                   streams.province_top3)] == before
+    assert users_of(tables.admitted.rows(spark)) == admitted
+    run.feed(click(3, user=5))
+    assert streams.user_clicks(spark, tables).count() == len(before[0]) + 1

@@ -110,7 +110,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.extract(table(spark, sf_dir, "pages")).select(
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.Weights.learn(pages)).select(
         "page_id", "url", "text", "n_chars")
 
 

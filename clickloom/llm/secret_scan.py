@@ -7,11 +7,18 @@ Other secrets are found by what they are made of. A candidate is a run of at lea
 letters, digits and ``+/_-`` that mixes letters and digits. Its encoding is the smallest alphabet
 that holds it (hex, base 32, base 36, letters and digits, base 64). A battery of tests asks whether
 it could be a random string over that alphabet: chi-squared uniformity, the number of runs above
-and below the middle, and serial correlation, together by Bonferroni's bound. Since thousands of
-candidates are tested, those that are rejected as not random are chosen by Benjamini and
-Hochberg's rule at rate ``false_rate``, in each band of lengths by itself, as short strings have
-less power. The rule's thresholds come from a histogram of p-values of the whole table, with a
-fixed number of cells. What is not rejected is a secret, unless it touches a base span.
+and below the middle, and serial correlation, together by Bonferroni's bound. What the battery
+rejects at ``lost_rate`` is no secret; so a share of the random strings is lost, of ``lost_rate``.
+
+Many identifiers and paths pass a battery that has 20 characters to go by. So the others have to
+reject the opposite hypothesis, that the candidate is an identifier: words, capitals, digits and
+separators that follow one another as ``FOLLOWS`` says, with the letters of prose. The likelihood of
+the string as a random one over that as an identifier is an e-value, and its inverse a p-value that
+holds at every length (Markov's inequality). Since thousands of candidates are tested, those that
+count as findings are chosen by Benjamini and Hochberg's rule at rate ``false_rate``, which bounds
+the share of identifiers among them, in each band of lengths by itself, as short strings have less
+power. The rule's thresholds come from a histogram of p-values of the whole table, with a fixed
+number of cells. A finding that touches a base span is left out.
 
 Null and empty texts have no spans. Rows are scanned one by one: repeated rows have equal results,
 null ids and other columns (but for those named in the result) pass through.
@@ -19,6 +26,7 @@ null ids and other columns (but for those named in the result) pass through.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -33,7 +41,7 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}"
 MIN_VALUE = 12
 MASK = "[SECRET]"
-# Beyond all cells: nothing of the band is rejected.
+# Beyond all cells: nothing of the band is a finding.
 _NO_CUT = 1_000_000
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -49,10 +57,25 @@ ENCODINGS = (
     (r"^[A-Za-z0-9_-]+$", _UPPER + _LOWER + _DIGITS + "-_"),
 )
 
+# The model of identifiers; fixed values. Shares of letters in prose, a to z, in tenths of percents
+# (rounded means of the common European languages), and of the separators.
+LETTERS = (87, 14, 33, 42, 140, 12, 15, 30, 72, 4, 7, 45, 26, 75, 65, 24, 5, 66, 66, 72, 37, 12, 10,
+           3, 10, 6)
+SEPARATORS = {"_": 0.4, "-": 0.3, "/": 0.25, "+": 0.05}
+# Lower case, upper case, digit, separator: the chance of each at the start, and after each.
+STARTS = (0.60, 0.25, 0.05, 0.10)
+FOLLOWS = ((0.82, 0.07, 0.04, 0.07),
+           (0.36, 0.54, 0.04, 0.06),
+           (0.20, 0.12, 0.53, 0.15),
+           (0.62, 0.20, 0.12, 0.06))
+_ALL = _LOWER + _UPPER + _DIGITS + "".join(SEPARATORS)
+
 
 @dataclass(frozen=True)
 class Battery:
     min_length: int = 20
+    # The share of random strings that the battery may lose, and of findings that may be false.
+    lost_rate: float = 0.01
     false_rate: float = 0.05
     # Lengths from which a band starts.
     bands: tuple[int, ...] = (20, 32, 48, 96)
@@ -119,8 +142,33 @@ def _normal_tail(z: str) -> str:
             f"(1.421413741D + {t} * (-1.453152027D + {t} * 1.061405429D)))) * exp(-{x} * {x})))")
 
 
+def within_class() -> list[float]:
+    """Log chance of each character of ``_ALL`` in an identifier, within its class."""
+    letters = [math.log(n / sum(LETTERS)) for n in LETTERS]
+    return letters * 2 + [math.log(0.1)] * 10 + [math.log(x) for x in SEPARATORS.values()]
+
+
+def _doubles(values) -> str:
+    return "array(" + ", ".join(f"{x!r}D" for x in values) + ")"
+
+
+def _as_identifier(found: str) -> str:
+    """SQL of the log likelihood of one candidate string as an identifier."""
+    classes = "0" * 26 + "1" * 26 + "2" * 10 + "3" * len(SEPARATORS)
+    chars = (f"transform(array(filter(split({found}, ''), c -> c <> '')), x -> named_struct("
+             f"'c', transform(x, c -> instr({_quoted(_ALL)}, c)),"
+             f" 'k', transform(x, c -> cast(translate(c, {_quoted(_ALL)}, {_quoted(classes)})"
+             " as int))))")
+    follows = _doubles(math.log(x) for row in FOLLOWS for x in row)
+    starts = _doubles(math.log(x) for x in STARTS)
+    return (f"transform({chars}, w -> aggregate(transform(w.k, (k, i) -> "
+            f"element_at({_doubles(within_class())}, w.c[i]) + if(i = 0, {starts}[k],"
+            f" {follows}[4 * w.k[i - 1] + k])), 0.0D, (t, v) -> t + v))[0]")
+
+
 def _battery(found: str) -> str:
-    """SQL of a struct ``(n, p)`` for one candidate string."""
+    """SQL of a struct ``(n, p, random)`` for one candidate string: the length, the battery's p and
+    the log likelihood as a random string."""
     whens = " ".join(f"when {found} rlike {_quoted(p)} then {_quoted(a)}" for p, a in ENCODINGS)
     alphabet = f"(case {whens} else {_quoted(_UPPER + _LOWER + _DIGITS + '+/-_')} end)"
     # Cells of uniformity hold three characters or more on average.
@@ -132,7 +180,7 @@ def _battery(found: str) -> str:
             " 'b', least(w.k, greatest(2, w.n div 3)),"
             " 'mean', aggregate(w.x, 0.0D, (t, v) -> t + v) / w.n))")
     sums = (
-        "transform(" + bins + ", w -> named_struct('n', w.n, 'b', w.b,"
+        "transform(" + bins + ", w -> named_struct('n', w.n, 'b', w.b, 'k', w.k,"
         " 'chi', aggregate(transform(sequence(0, w.b - 1), j -> size(filter(w.x,"
         "   v -> v * w.b div w.k = j))), 0.0D, (t, c) -> t + c * c) * w.b / w.n - w.n,"
         " 'up', size(filter(w.x, v -> 2 * v >= w.k)),"
@@ -151,7 +199,8 @@ def _battery(found: str) -> str:
     serial = "if(w.sq > 0, sqrt(1.0D * w.n) * (w.lag / w.sq + 1.0D / w.n), 40.0D)"
     zs = f"array({uniform}, {runs}, {serial})"
     least = f"array_min(transform({zs}, z -> {_normal_tail('z')}))"
-    return f"transform({sums}, w -> named_struct('n', w.n, 'p', least(1.0D, 3 * {least})))[0]"
+    return (f"transform({sums}, w -> named_struct('n', w.n, 'p', least(1.0D, 3 * {least}),"
+            " 'random', -w.n * ln(w.k)))[0]")
 
 
 def _scanned(docs: DataFrame, battery: Battery) -> DataFrame:
@@ -163,22 +212,25 @@ def _scanned(docs: DataFrame, battery: Battery) -> DataFrame:
     df = df.withColumn("_base", F.array_sort(F.concat("_assign", "_access", "_hex")))
     df = with_spans(df, "_text", CANDIDATE % battery.min_length, 3, "_strings",
                     "z.m rlike '[0-9]' and z.m rlike '[A-Za-z]'")
-    band = " + ".join(f"if(t.n >= {n}, 1, 0)" for n in battery.bands)
-    cell = (f"cast(least({battery.cells * battery.decades}, floor(-log10(t.p) * {battery.cells}))"
-            " as int)")
+    band = " + ".join(f"if(t.t.n >= {n}, 1, 0)" for n in battery.bands)
+    # Of the p-value against an identifier; what the battery rejects has the p-value 1.
+    power = "(t.t.random - t.identifier) / ln(10.0D)"
+    cell = (f"if(t.t.p < {battery.lost_rate}D, 0, cast(least({battery.cells * battery.decades},"
+            f" floor(greatest(0.0D, {power}) * {battery.cells})) as int))")
     return (
         df.withColumn("_clear", F.expr(
             "filter(_strings, c -> not exists(_base, b -> b.start < c.stop and c.start < b.stop))"))
         .withColumn("_tested", F.expr(
-            f"transform(_clear, c -> named_struct('span', c, 't', {_battery('c.found')}))"))
+            f"transform(_clear, c -> named_struct('span', c, 't', {_battery('c.found')},"
+            f" 'identifier', {_as_identifier('c.found')}))"))
         .withColumn("_tests", F.expr(
-            "transform(_tested, c -> transform(array(c.t), t -> named_struct('span', c.span,"
-            f" 'p', t.p, 'band', {band}, 'cell', {cell}))[0])"))
+            f"transform(_tested, t -> named_struct('span', t.span, 'p', t.t.p, 'band', {band},"
+            f" 'cell', {cell}))"))
         .drop("_strings", "_clear", "_tested"))
 
 
 def thresholds(tests: DataFrame, battery: Battery) -> DataFrame:
-    """``(band, cut)``: candidates of a band in cell ``cut`` or beyond are not random.
+    """``(band, cut)``: candidates of a band in cell ``cut`` or beyond are findings.
 
     Cells run from p = 1 down. A cell counts with its largest p, so the false rate is kept.
     """
@@ -201,7 +253,7 @@ def find_secrets(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     cuts = {row["band"]: row["cut"] for row in thresholds(tests, battery).collect()}
     above = " ".join(f"when {band} then {cut}" for band, cut in sorted(cuts.items()))
     cut = f"case t.band {above} else {_NO_CUT} end" if cuts else str(_NO_CUT)
-    random = F.expr(f"transform(filter(_tests, t -> t.cell < {cut}), t -> t.span)")
+    random = F.expr(f"transform(filter(_tests, t -> t.cell >= {cut}), t -> t.span)")
     return (scanned.withColumn("_random", random)
             .withColumns({"n_assign": F.size("_assign").cast("long"),
                           "n_access": F.size("_access").cast("long"),

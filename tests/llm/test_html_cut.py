@@ -40,9 +40,10 @@ def test_the_cut_decides_with_and_without_an_article(learned):
         assert html_extract.main_text(other, w) == TEXT
         # A linked paragraph and a short one are content only for what is around them.
         assert html_extract.main_text(other, without_edges(w)) != TEXT
-    weak = dataclasses.replace(learned, in_main=1.0)
-    assert html_extract.main_text(PAGES[0], weak) == TEXT
-    assert html_extract.main_text(PAGES[0], without_edges(weak)) != TEXT
+    told = f"<body>{NAV}{AD}<article>{plain}</article>{FOOT}</body>"
+    weak = dataclasses.replace(learned, in_main=0.0)
+    assert html_extract.main_text(told, weak) == TEXT
+    assert html_extract.main_text(told, without_edges(weak)) != TEXT
 
 
 def test_learning(spark, learned):

@@ -17,8 +17,9 @@ Repeated rows get equal results; null ids are scored but not learned from; other
 from __future__ import annotations
 
 import functools
+import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +34,8 @@ UNKNOWN = "und"
 # Training rows whose pieces are counted.
 SAMPLE_DOCS = 6000
 SMOOTH = 0.5
-MAX_PIECE = 16
-# A longer run without white space is scored in parts of this many bytes.
-MAX_WORD = 256
+# A longer word is scored by itself, byte by byte, so that few bytes are held; the sum is the same.
+ALONE = 256
 CACHE_WORDS = 400_000
 
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -53,7 +53,10 @@ def words(text: str) -> list[bytes]:
 
 @functools.cache
 def vocabulary(path: str) -> dict[bytes, int]:
-    """Number of each piece; pieces of one byte stand for the byte."""
+    """Number of each piece; pieces of one byte stand for the byte.
+
+    Pieces that no word can hold are left out: with capitals, signs or several spaces.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -61,15 +64,22 @@ def vocabulary(path: str) -> dict[bytes, int]:
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).encode()
         if (not model.is_control(i) and not model.is_unknown(i) and not model.is_byte(i)
-                and 1 < len(piece) <= MAX_PIECE):
+                and len(piece) > 1 and b" " not in piece.translate(_LETTERS)
+                and _START not in piece[1:]):
             pieces.setdefault(piece, len(pieces))
     return pieces
 
 
-def _longest_first(word: bytes, pieces: dict[bytes, int]) -> list[int]:
+@functools.cache
+def longest(path: str) -> int:
+    """Bytes of the longest piece."""
+    return max(map(len, vocabulary(path)))
+
+
+def _longest_first(word: bytes, pieces: dict[bytes, int], most: int) -> list[int]:
     found, at = [], 0
     while at < len(word):
-        for size in range(min(MAX_PIECE, len(word) - at), 0, -1):
+        for size in range(min(most, len(word) - at), 0, -1):
             number = pieces.get(word[at:at + size])
             if number is not None:
                 found.append(number)
@@ -78,16 +88,11 @@ def _longest_first(word: bytes, pieces: dict[bytes, int]) -> list[int]:
     return found
 
 
-def _segmented(word: bytes):
-    for at in range(0, len(word), MAX_WORD):
-        yield (_START if at == 0 else b"") + word[at:at + MAX_WORD]
-
-
 def piece_counts(docs: DataFrame, path: str) -> DataFrame:
     """``(lang, piece, n)``: each word's longest-first pieces, as a start for the probabilities."""
 
     def count(batches):
-        pieces = vocabulary(path)
+        pieces, most = vocabulary(path), longest(path)
         for batch in batches:
             seen: dict[str, Counter] = {}
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
@@ -96,9 +101,8 @@ def piece_counts(docs: DataFrame, path: str) -> DataFrame:
             for lang, held in seen.items():
                 total: Counter = Counter()
                 for word, n in held.items():
-                    for part in _segmented(word):
-                        for number in _longest_first(part, pieces):
-                            total[number] += n
+                    for number in _longest_first(_START + word, pieces, most):
+                        total[number] += n
                 rows += [(lang, number, n) for number, n in total.items()]
             columns = list(zip(*rows)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
@@ -133,11 +137,42 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.pieces = vocabulary(model.path)
+        self.pieces, self.most = vocabulary(model.path), longest(model.path)
         self.at: dict[bytes, int] = {}
         self.table = np.empty((0, len(model.langs)))
         self.used = 0
 
+    def _forward_alone(self, word: bytes) -> np.ndarray:
+        """Log of the sum over all segmentations of one word of any length.
+
+        Only the sums for the last bytes are held, as logs of a common scale and values beside it.
+        """
+        get, most, chances = self.pieces.get, self.most, self.model.chances
+        langs = range(len(self.model.langs))
+        known: dict[int, list[float]] = {}
+        last = deque([[1.0 for _ in langs]], maxlen=most)
+        scale = [0.0 for _ in langs]
+        for end in range(1, len(word) + 1):
+            total = [0.0 for _ in langs]
+            for width in range(1, min(most, end) + 1):
+                number = get(word[end - width:end])
+                if number is not None:
+                    chance = known.get(number)
+                    if chance is None:
+                        chance = known[number] = chances[number].tolist()
+                    before = last[-width]
+                    for k in langs:
+                        total[k] += before[k] * chance[k]
+            last.append(total)
+            if end % 16 == 0:
+                # Rescaled, so that long words do not underflow.
+                for k in langs:
+                    norm = total[k]
+                    scale[k] += math.log(norm)
+                    for held in last:
+                        held[k] /= norm
+        return np.array([scale[k] + math.log(last[-1][k]) for k in langs])
+
     def _forward(self, parts: list[bytes]) -> np.ndarray:
         """Sum over all segmentations of each part, which are of nearly equal size."""
         size = max(map(len, parts))
@@ -152,14 +187,14 @@ class Scorer:
         chances = np.vstack([self.model.chances, np.zeros(langs)])
         for end in range(1, size + 1):
             total = np.zeros((len(parts), langs))
-            for width in range(1, min(MAX_PIECE, end) + 1):
+            for width in range(1, min(self.most, end) + 1):
                 ids = np.fromiter((get(p[end - width:end], missing) if end <= len(p) else missing
                                    for p in parts), dtype=np.int64, count=len(parts))
                 if (ids != missing).any():
                     total += alpha[end - width] * chances[ids]
             # Rescaled, so that long words do not underflow.
             norm = np.where(total > 0, total, 1)
-            low = max(0, end - MAX_PIECE)
+            low = max(0, end - self.most)
             alpha[end] = total / norm
             alpha[low:end] /= norm
             scale += np.log(norm)
@@ -171,11 +206,14 @@ class Scorer:
         if self.used + len(new) > CACHE_WORDS:
             self.at, self.used = {}, 0
         scores = np.zeros((len(new), len(self.model.langs)))
-        parts = sorted(((part, k) for k, word in enumerate(new) for part in _segmented(word)),
+        parts = sorted(((_START + word, k) for k, word in enumerate(new) if len(word) <= ALONE),
                        key=lambda x: len(x[0]))
+        for k, word in enumerate(new):
+            if len(word) > ALONE:
+                scores[k] = self._forward_alone(_START + word)
         for low in range(0, len(parts), 4096):
             held = parts[low:low + 4096]
-            np.add.at(scores, [k for _, k in held], self._forward([p for p, _ in held]))
+            scores[[k for _, k in held]] = self._forward([p for p, _ in held])
         need = self.used + len(new)
         if need > len(self.table):
             grown = np.empty((max(need, 2 * len(self.table), 1024), len(self.model.langs)))

@@ -112,6 +112,33 @@ def test_forward_sums_all_segmentations():
                                    np.log(total("▁".encode() + word)), rtol=1e-9)
 
 
+def test_long_words_are_summed_whole():
+    pieces = language_id.vocabulary(PIECES)
+    rng = random.Random(2)
+    chances = np.random.default_rng(2).random((len(pieces), 2))
+    chances /= chances.sum(axis=0)
+    model = language_id.Model(["a", "b"], chances, PIECES)
+    most = max(map(len, pieces))
+
+    def unbounded(word):
+        word = "▁".encode() + word
+        log = np.full((len(word) + 1, 2), -np.inf)
+        log[0] = 0
+        for end in range(1, len(word) + 1):
+            for width in range(1, min(most, end) + 1):
+                number = pieces.get(word[end - width:end])
+                if number is not None:
+                    log[end] = np.logaddexp(log[end], log[end - width] + np.log(chances[number]))
+        return log[-1]
+
+    common = ["international", "responsibilities", "the", "été", "ß", "가나", "q", "straße"]
+    for n in (3, 60, 255, 256, 257, 10_000):
+        word = "".join(rng.choices(common, k=n)).encode()[:n].decode(errors="ignore").encode()
+        scorer = language_id.Scorer(model)
+        scorer.know([[word, b"short"]])
+        np.testing.assert_allclose(scorer.log_probability([word]), unbounded(word), rtol=1e-9)
+
+
 def test_best_stretch():
     rng = np.random.default_rng(3)
     for _ in range(200):

@@ -1,4 +1,10 @@
-"""Licence notices and texts, by SPDX identifier. The wording of the licences."""
+"""Licence notices and texts, by SPDX identifier. The wording of the licences.
+
+The full texts are the files of ``license_bodies``; notices of one line are made from the names of
+the licences.
+"""
+
+from importlib import resources
 
 _MIT_GRANT = """
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -79,34 +85,69 @@ _MPL = """
 This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
 the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""
 
-TEMPLATES: list[tuple[str, str]] = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+# What notices of one line call a licence.
+_NAMES = {
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"),
+    "MIT": ("MIT License",),
+    "ISC": ("ISC License",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License"),
+    "GPL-1.0-or-later": ("GNU General Public License",),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU General Public License v2.0"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU General Public License v3.0"),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1",
+                 "GNU Lesser General Public License v2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3",
+                 "GNU Lesser General Public License v3.0"),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3",
+                 "GNU Affero General Public License v3.0"),
+    "GFDL-1.3": ("GNU Free Documentation License, version 1.3",),
+    "MPL-1.1": ("Mozilla Public License, version 1.1", "Mozilla Public License 1.1"),
+    "MPL-2.0": ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0"),
+    "EPL-2.0": ("Eclipse Public License, version 2.0", "Eclipse Public License 2.0"),
+    "Zlib": ("zlib License",),
+    "CC0-1.0": ("CC0 1.0 Universal", "CC0 1.0"),
+}
+_OPENINGS = ("licensed under", "released under", "distributed under", "available under",
+             "published under", "dedicated to the public domain under")
+_ARTICLES = ("", "a", "the")
+# Creative Commons licences by their elements; all combinations that exist.
+_ELEMENTS = {"BY": "Attribution", "NC": "NonCommercial", "ND": "NoDerivatives", "SA": "ShareAlike"}
+_COMBINED = ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")
+_VERSIONS = ("3.0", "4.0")
+
+_NOTICES: list[tuple[str, str]] = [
     ("Apache-2.0", _APACHE),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
     ("MIT", _MIT_GRANT),
     ("ISC", _ISC),
     ("BSD-2-Clause", _BSD_START + _BSD_END),
     ("BSD-3-Clause", _BSD_START + _BSD_NAMES + _BSD_END),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", _GPL.format(version=2)),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", _GPL.format(version=3)),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", _MPL),
     ("Zlib", _ZLIB),
     ("Unlicense", _UNLICENSE),
-    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International "
-                  "License."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-                     "International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
-                     "International License."),
 ]
+
+
+def _creative_commons() -> dict[str, tuple[str, ...]]:
+    names = {}
+    for elements in _COMBINED:
+        words = "-".join(_ELEMENTS[e] for e in elements.split("-"))
+        for version in _VERSIONS:
+            kind = "International" if version == "4.0" else "Unported"
+            names[f"CC-{elements}-{version}"] = (
+                f"CC {elements} {version}", f"Creative Commons {words} {version} {kind} License")
+    return names
+
+
+def templates() -> list[tuple[str, str]]:
+    """Name and text: full licences, the notices of file headers, and notices of one line."""
+    bodies = sorted((resources.files("clickloom.llm") / "license_bodies").iterdir(),
+                    key=lambda f: f.name)
+    full = [(f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in bodies
+            if f.name.endswith(".txt")]
+    lines = [(spdx, f"{opening} {article} {name}")
+             for spdx, names in {**_NAMES, **_creative_commons()}.items() for name in names
+             for opening in _OPENINGS for article in _ARTICLES]
+    return full + _NOTICES + lines

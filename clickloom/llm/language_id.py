@@ -8,7 +8,8 @@ words, so a text's log probability is the sum over its words, and a task keeps w
 words it has seen.
 
 The pieces are counted on a bounded sample (``sample_docs``) of the labelled training rows, each of
-them whole; all texts are scored whole. Null texts and texts without a letter are ``und`` with
+them whole: first the longest pieces of each word, then ``rounds`` times what the probabilities so
+far expect over all segmentations (expectation and maximisation). All texts are scored whole. Null texts and texts without a letter are ``und`` with
 score 0, and so is every text if there is nothing to learn from. The score is the probability of
 the predicted language among those learned; equally likely languages go to the first by name.
 Repeated rows get equal results; null ids are scored but not learned from; other columns pass.
@@ -29,11 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.sampling import about
+from clickloom.sources.storage import materialize
 
 UNKNOWN = "und"
 # Training rows whose pieces are counted.
 SAMPLE_DOCS = 6000
 SMOOTH = 0.5
+# Times that the pieces are counted anew, as the last probabilities expect them.
+ROUNDS = 2
+# Expected counts are sums of whole parts of one, which do not depend on the order of the rows.
+UNIT = 1 << 20
 # A longer word is scored by itself, byte by byte, so that few bytes are held; the sum is the same.
 ALONE = 256
 CACHE_WORDS = 400_000
@@ -88,28 +94,85 @@ def _longest_first(word: bytes, pieces: dict[bytes, int], most: int) -> list[int
     return found
 
 
-def piece_counts(docs: DataFrame, path: str) -> DataFrame:
-    """``(lang, piece, n)``: each word's longest-first pieces, as a start for the probabilities."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``(lang, word, n)``: how often each word stands in the texts of a language."""
 
     def count(batches):
-        pieces, most = vocabulary(path), longest(path)
         for batch in batches:
             seen: dict[str, Counter] = {}
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
                 seen.setdefault(lang, Counter()).update(words(text or ""))
-            rows = []
-            for lang, held in seen.items():
-                total: Counter = Counter()
-                for word, n in held.items():
-                    for number in _longest_first(_START + word, pieces, most):
-                        total[number] += n
-                rows += [(lang, number, n) for number, n in total.items()]
+            rows = [(lang, word, n) for lang, held in seen.items() for word, n in held.items()]
+            columns = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()),
+                 pa.array(columns[2], pa.int64())], names=["lang", "word", "n"])
+
+    return (docs.select("lang", "text").mapInArrow(count, "lang string, word binary, n long")
+            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+
+
+def expected_pieces(word: bytes, pieces: dict[bytes, int], most: int,
+                    log: list[float]) -> Counter:
+    """How often each piece is expected in ``word``, over all its segmentations.
+
+    ``log`` has the log probabilities of the pieces. Sums forward and backward are logs, so words
+    of any length do not underflow.
+    """
+    get, size = pieces.get, len(word)
+    forward, edges = [0.0], []
+    for end in range(1, size + 1):
+        into = []
+        for start in range(max(0, end - most), end):
+            number = get(word[start:end])
+            if number is not None:
+                into.append((start, number))
+        values = [forward[start] + log[number] for start, number in into]
+        top = max(values)
+        forward.append(top + math.log(sum(math.exp(v - top) for v in values)))
+        edges.append(into)
+    expected: Counter = Counter()
+    # Chance that a segmentation of the whole word has a cut at each place.
+    cut = [0.0] * size + [1.0]
+    for end in range(size, 0, -1):
+        if cut[end]:
+            for start, number in edges[end - 1]:
+                chance = cut[end] * math.exp(forward[start] + log[number] - forward[end])
+                cut[start] += chance
+                expected[number] += chance
+    return expected
+
+
+def piece_counts(counted: DataFrame, path: str, model: Model | None = None) -> DataFrame:
+    """``(lang, piece, n)``: n times ``UNIT``, of the rows of :func:`word_counts`.
+
+    Expected counts by ``model``, or without one those of each word's longest pieces first.
+    """
+    shared = counted.sparkSession.sparkContext.broadcast(model)
+
+    def count(batches):
+        pieces, most, held = vocabulary(path), longest(path), shared.value
+        logs = {} if held is None else {
+            lang: np.log(held.chances[:, k]).tolist() for k, lang in enumerate(held.langs)}
+        for batch in batches:
+            total: Counter = Counter()
+            for lang, word, n in zip(*(batch[c].to_pylist() for c in ("lang", "word", "n"))):
+                if held is None:
+                    found = Counter(_longest_first(_START + word, pieces, most))
+                else:
+                    found = expected_pieces(_START + word, pieces, most, logs[lang])
+                for number, times in found.items():
+                    total[lang, number] += times * n
+            rows = [(lang, number, round(n * UNIT)) for (lang, number), n in total.items()]
             columns = list(zip(*rows)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()),
                  pa.array(columns[2], pa.int64())], names=["lang", "piece", "n"])
 
-    return (docs.select("lang", "text").mapInArrow(count, "lang string, piece int, n long")
+    # Few bytes and much work for each, so words are spread by tasks, not by size.
+    tasks = counted.sparkSession.sparkContext.defaultParallelism
+    return (counted.repartition(tasks, "lang", "word")
+            .mapInArrow(count, "lang string, piece int, n long")
             .groupBy("lang", "piece").agg(F.sum("n").alias("n")))
 
 
@@ -120,17 +183,27 @@ class Model:
         self.langs, self.chances, self.path = langs, chances, path
 
     @staticmethod
-    def learn(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS) -> Model:
-        """From the rows of ``docs`` that have ``lang``; languages times vocabulary at most."""
-        labelled = docs.where("lang is not null and text is not null and doc_id is not null")
-        rows = piece_counts(about(labelled, sample_docs, F.col("doc_id")), path).collect()
+    def _of_counts(counts: DataFrame, path: str) -> Model:
+        rows = counts.collect()
         langs = sorted({row["lang"] for row in rows})
         n = np.full((len(vocabulary(path)), len(langs)), SMOOTH)
         at = {lang: k for k, lang in enumerate(langs)}
         for row in rows:
-            n[row["piece"], at[row["lang"]]] += row["n"]
+            n[row["piece"], at[row["lang"]]] += row["n"] / UNIT
         return Model(langs, n / n.sum(axis=0), path)
 
+    @staticmethod
+    def learn(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS,
+              rounds: int = ROUNDS) -> Model:
+        """From the rows of ``docs`` that have ``lang``; languages times vocabulary at most."""
+        labelled = docs.where("lang is not null and text is not null and doc_id is not null")
+        counted = materialize(
+            word_counts(about(labelled, sample_docs, F.col("doc_id"))), "words")
+        model = Model._of_counts(piece_counts(counted, path), path)
+        for _ in range(rounds if model.langs else 0):
+            model = Model._of_counts(piece_counts(counted, path, model), path)
+        return model
+
 
 class Scorer:
     """Log probabilities of words in each language, remembered by word."""
@@ -261,9 +334,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     rows.append((held.langs[best], float(1 / np.exp(log - log[best]).sum())))
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
 
-    judged = docs.withColumn("_judged", score(F.col("text").cast("string")))
-    return judged.withColumns({"lang_pred": F.col("_judged.lang_pred"),
-                               "score": F.col("_judged.score")}).drop("_judged")
+    # Both stand in one column of the result first, so that no other name is needed.
+    judged = docs.withColumn("lang_pred", score(F.col("text").cast("string")))
+    return judged.withColumns({"lang_pred": F.col("lang_pred.lang_pred"),
+                               "score": F.col("lang_pred.score")})
 
 
 def _parts(texts: list[str | None], size: int = 1 << 20):

@@ -139,6 +139,51 @@ def test_long_words_are_summed_whole():
         np.testing.assert_allclose(scorer.log_probability([word]), unbounded(word), rtol=1e-9)
 
 
+def test_expected_pieces_over_all_segmentations():
+    pieces = language_id.vocabulary(PIECES)
+    most = language_id.longest(PIECES)
+    rng = np.random.default_rng(4)
+    log = np.log(rng.dirichlet(np.full(len(pieces), 0.5)) + 1e-9).tolist()
+
+    def segmentations(word):
+        if not word:
+            yield []
+        for k in range(1, len(word) + 1):
+            if word[:k] in pieces:
+                for rest in segmentations(word[k:]):
+                    yield [pieces[word[:k]], *rest]
+
+    for word in (b"a", b"the", b"thought", "été".encode(), b"housing"):
+        ways = list(segmentations(word))
+        weights = [np.exp(sum(log[p] for p in way)) for way in ways]
+        want = {}
+        for way, weight in zip(ways, weights):
+            for p in way:
+                want[p] = want.get(p, 0) + weight / sum(weights)
+        assert dict(language_id.expected_pieces(word, pieces, most, log)) == pytest.approx(want)
+    # Every byte of a word of any length is in one piece.
+    sizes = {number: len(piece) for piece, number in pieces.items()}
+    long = "responsibilities가ß".encode() * 500
+    found = language_id.expected_pieces(long, pieces, most, log)
+    assert sum(n * sizes[p] for p, n in found.items()) == pytest.approx(len(long))
+
+
+def test_rounds_raise_the_likelihood(docs):
+    """Each round makes the training words likelier, with the smoothing as a prior of the pieces."""
+    rng = random.Random(3)
+    words = ["thinkingly", "unhoused", "irresponsibles", "nationalising", "xylophonist", "rethought"]
+    table = docs([(k, " ".join(rng.choices(words, k=30)), "en") for k in range(30)])
+    likelihood = []
+    for rounds in range(4):
+        model = language_id.Model.learn(table, PIECES, rounds=rounds)
+        scorer = language_id.Scorer(model)
+        held = [w.encode() for r in table.collect() for w in r.text.split()]
+        scorer.know([held])
+        prior = language_id.SMOOTH * np.log(model.chances).sum()
+        likelihood.append(scorer.log_probability(held)[0] + prior)
+    assert all(b > a for a, b in zip(likelihood, likelihood[1:])), likelihood
+
+
 def test_best_stretch():
     rng = np.random.default_rng(3)
     for _ in range(200):

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.columns import sets_aside
+
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 # Fixed phrases of page furniture.
@@ -85,6 +87,7 @@ def with_repeat_words(docs: DataFrame, held: str, name: str) -> DataFrame:
             s -> s.n), 0L)""")).drop("_windows", "_at")
 
 
+@sets_aside("_words", "_lines", "_kept_lines", "_windows", "_at")
 def measured(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     clean_text, left_percent, kept``; columns of these names are replaced."""

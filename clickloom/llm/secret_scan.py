@@ -32,6 +32,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.llm.columns import sets_aside
+
 # Fixed patterns of the base kinds, in the order in which kinds are listed.
 ASSIGN = (r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?"
           r"([A-Za-z0-9+/_.=-]+)")
@@ -244,6 +246,8 @@ def thresholds(tests: DataFrame, battery: Battery) -> DataFrame:
             .groupBy("band").agg(F.min("cell").alias("cut")))
 
 
+@sets_aside("_text", "_assign", "_access", "_hex", "_base", "_strings", "_clear", "_tested",
+            "_tests", "_random")
 def find_secrets(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     """``docs`` with ``n_assign, n_access, n_hex, n_random``, ``base`` and ``secrets``: arrays of
     ``(start, kind, stop, found)`` ordered by start, then kind."""
@@ -272,6 +276,7 @@ def span_text(spans: str):
                   " ':', s.stop)), ',')")
 
 
+@sets_aside("_stops", "_reach", "_cuts")
 def masked(docs: DataFrame, text: str = "text", spans: str = "secrets") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``MASK``; touching ones by one."""
     reach = _running("_stops", "greatest({t}, {x})")

@@ -94,6 +94,23 @@ def _loss(margins: np.ndarray) -> float:
     return float(np.logaddexp(0, -margins).mean())
 
 
+def nonnegative_step(a: _Texts, b: _Texts, weights: np.ndarray, constant: float,
+                     prior: float) -> tuple[np.ndarray, float]:
+    """Gradient to go down, for positives ``a`` and unlabelled texts ``b``.
+
+    That of the whole risk; where the part of the clean texts is negative, that part's, turned.
+    """
+    at_p, at_u = a.margins(weights, constant), b.margins(weights, constant)
+    clean = _loss(-at_u) - prior * _loss(-at_p)
+    g_w, g_c = b.gradient(_sigmoid(at_u) / b.n)
+    h_w, h_c = a.gradient(prior * _sigmoid(at_p) / a.n)
+    g_w, g_c = g_w - h_w, g_c - h_c
+    if clean < 0:
+        return -g_w, -g_c
+    t_w, t_c = a.gradient(-prior * _sigmoid(-at_p) / a.n)
+    return g_w + t_w, g_c + t_c
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray],
         prior: float) -> tuple[np.ndarray, np.ndarray, float]:
     """Known words, sorted, their weights, and the constant."""
@@ -113,16 +130,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray],
     weights, constant = np.zeros(len(known)), float(np.log(prior / (1 - prior)))
     m_w, v_w, m_c, v_c = np.zeros(len(known)), np.zeros(len(known)), 0.0, 0.0
     for step in range(1, STEPS + 1):
-        at_p, at_u = a.margins(weights, constant), b.margins(weights, constant)
-        clean = _loss(-at_u) - prior * _loss(-at_p)
-        g_w, g_c = b.gradient(_sigmoid(at_u) / b.n)
-        h_w, h_c = a.gradient(prior * _sigmoid(at_p) / a.n)
-        g_w, g_c = g_w - h_w, g_c - h_c
-        if clean < 0:
-            g_w, g_c = -g_w, -g_c
-        else:
-            t_w, t_c = a.gradient(-prior * _sigmoid(-at_p) / a.n)
-            g_w, g_c = g_w + t_w, g_c + t_c
+        g_w, g_c = nonnegative_step(a, b, weights, constant, prior)
         g_w = g_w + DECAY * weights
         m_w, v_w = 0.9 * m_w + 0.1 * g_w, 0.999 * v_w + 0.001 * g_w ** 2
         m_c, v_c = 0.9 * m_c + 0.1 * g_c, 0.999 * v_c + 0.001 * g_c ** 2

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.columns import sets_aside
+
 ALLOW, BLOCK = "allow", "block"
 # Entries of one broadcast trie: some 100 bytes each, so 20 MB at most.
 MAX_ENTRIES = 200_000
@@ -102,6 +104,7 @@ def _pass(spark, entries: list[tuple[str, str]]):
     return longest
 
 
+@sets_aside("_best_entry", "_found")
 def filter_urls(pages: DataFrame, entries: list[tuple[str, str]], default: str = ALLOW,
                 url: str = "url", max_entries: int = MAX_ENTRIES) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (null if none fits) and ``verdict``."""

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from clickloom.llm import (
-    decontaminate, html_extract, language_id, near_dedup, packing, secret_scan)
+    decontaminate, html_extract, language_id, near_dedup, packing, secret_scan, toxicity)
 from tests.llm.test_small_tables import PIECES, TOKENS
 
 
@@ -221,3 +221,79 @@ def test_random_strings_are_found_and_others_are_not(docs):
     found = {r.doc_id: r.s for r in secret_scan.find_secrets(docs(rows)).withColumn(
         "s", secret_scan.span_text("secrets")).collect()}
     assert found == {1: "random:4:44", 2: "", 3: "", 4: ""}
+
+
+def test_overlaps_of_all_alignments(spark, docs):
+    """Passages with replaced words, against the best stretch of every document, item and shift."""
+    rng = random.Random(11)
+
+    def other(n):
+        return [f"w{rng.randrange(3000)}" for _ in range(n)]
+
+    items = {k: other(rng.randint(14, 40)) for k in range(30)}
+    texts = {}
+    for k in range(400):
+        item = rng.choice(items)
+        low = rng.randrange(0, len(item) - 11)
+        held = item[low:rng.randint(low + 12, len(item))]
+        rate = rng.choice([0, 0.05, 0.1, 0.15, 0.2])
+        held = [f"new{rng.randrange(10**6)}" if rng.random() < rate else w for w in held]
+        texts[k] = other(rng.randint(0, 30)) + held + other(rng.randint(0, 30))
+    want = set()
+    for k, text in texts.items():
+        one = np.array(text)
+        for number, item in items.items():
+            for place in range(1 - len(item), len(text)):
+                low, high = max(0, -place), min(len(item), len(text) - place)
+                equal = one[low + place:high + place] == np.array(item[low:high])
+                if equal.sum() >= 12:
+                    a, b, matches = decontaminate.best_stretch(equal)
+                    if matches >= 12 and 100 * matches >= 80 * (b - a):
+                        want.add((k, number))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()],
+                                  "item_id long, text string")
+    table = docs([(k, " ".join(w)) for k, w in texts.items()])
+    found = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(table, bench).collect()}
+    assert len(want) > 250 and found <= want
+    assert len(found) >= 0.98 * len(want), (len(found), len(want))
+
+
+def _risk(margins, positive, prior):
+    """The two parts of the risk, one text at a time."""
+    def loss(x):
+        return float(np.log1p(np.exp(-x)))
+
+    toxic = [m for m, p in zip(margins, positive) if p]
+    other = [m for m, p in zip(margins, positive) if not p]
+    as_toxic = prior * sum(map(loss, toxic)) / len(toxic)
+    clean = (sum(loss(-m) for m in other) / len(other)
+             - prior * sum(loss(-m) for m in toxic) / len(toxic))
+    return as_toxic, clean
+
+
+def test_steps_follow_the_nonnegative_risk():
+    """Gradients against differences of the risk; it is turned where the clean part is negative."""
+    rng = np.random.default_rng(6)
+    signs = []
+    for trial in range(40):
+        n, size = rng.integers(4, 12), 5
+        rows = rng.random((n, size)) < 0.5
+        positive = np.arange(n) < n // 2
+        prior = rng.uniform(0.2, 0.8)
+        known = np.arange(10, 10 + size, dtype=np.uint64)
+        held = [known[row] for row in rows]
+        texts = [toxicity._Texts([h for h, p in zip(held, positive) if p == kind], known)
+                 for kind in (True, False)]
+        point = rng.normal(0, 3, size + 1)
+
+        def goal(x):
+            as_toxic, clean = _risk(rows @ x[:size] + x[size], positive, prior)
+            return as_toxic + clean if turn else -clean
+
+        turn = _risk(rows @ point[:size] + point[size], positive, prior)[1] >= 0
+        signs.append(turn)
+        g_w, g_c = toxicity.nonnegative_step(*texts, point[:size], point[size], prior)
+        for k, got in enumerate([*g_w, g_c]):
+            step = np.eye(size + 1)[k] * 1e-5
+            assert got == pytest.approx((goal(point + step) - goal(point - step)) / 2e-5, abs=1e-6)
+    assert 5 < sum(signs) < 35

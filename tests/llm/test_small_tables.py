@@ -180,3 +180,22 @@ def test_pipeline_stages(spark, docs, tmp_path, rows):
             held = out
     assert out.count() == held.count() or rows
     assert {r.doc_id for r in held.collect()} == ({None, 6} if rows else set())
+
+
+def test_internal_names_do_not_clash(docs):
+    """Columns called as the operators call theirs on the way pass, and the result is the same."""
+    table = docs([*ROWS, (8, 'token = "abcdefghijkl" é', "en")])
+    operators = [quality_rules.measured, secret_scan.find_secrets, licenses.scan,
+                 lambda t: secret_scan.masked(secret_scan.find_secrets(t)),
+                 lambda t: url_filter.filter_urls(t, [("block", "com/")], url="text")]
+    names = ("_words _lines _kept_lines _windows _at _At_ _text _assign _access _hex _base _strings"
+             " _clear _tested _tests _random _stops _reach _cuts _best _judged _best_entry _found")
+    extra = {name: F.lit(name) for name in names.split()}
+    for operator in operators:
+        found = operator(table.withColumns(extra))
+        want = operator(table)
+        assert set(found.columns) == {*want.columns, *extra}
+        rows = found.collect()
+        assert {tuple(r[name] for name in extra) for r in rows} == {tuple(extra)}
+        assert sorted(map(repr, found.select(want.columns).collect())) == sorted(
+            map(repr, want.collect()))

@@ -467,7 +467,7 @@ def table_overwrite(spark, sf_dir):
     return spark.table(name)
 
 
-# Ad clicks, as streams: the log is replayed day by day, the result tables are read back.
+# Ad clicks, as streams: the log is replayed in day order, the result tables are read back.
 
 @_query
 def stream_ad_clicks_admitted(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""The ad log of the test data, replayed through the streaming jobs day by day."""
+"""The ad log of the test data, replayed through the streaming jobs in day order."""
 
 from __future__ import annotations
 
@@ -14,6 +14,10 @@ _NO_PAUSE = {"processingTime": "0 seconds"}
 # Batches of admitted clicks per micro-batch for the queries that only read them.
 _ENTRIES_PER_BATCH = 16
 
+# The log is handed over in at most so many parts of whole days. A part costs seconds however small
+# it is, so their number must not follow the days of the log.
+_PARTS = 20
+
 # Input per state partition.
 _BYTES_PER_PARTITION = 64 << 20
 
@@ -48,21 +52,32 @@ def write_days(lines: DataFrame, path: str) -> list[str]:
     return storage.child_dirs(lines.sparkSession, path)
 
 
+def parts_of_days(days: list[str], most: int = _PARTS) -> list[list[str]]:
+    """The days in order, cut into at most ``most`` parts of nearly equal length."""
+    n = min(most, len(days))
+    return [days[k * len(days) // n:(k + 1) * len(days) // n] for k in range(n)]
+
+
 def run_days(session: SparkSession, prepared: str, days: list[str], tables: AdTables,
              threshold: int) -> None:
-    """Hand one day after the other to the admission and to the blacklist upkeep.
+    """Hand one part of the days after the other to the admission and to the blacklist upkeep.
 
-    Both queries run throughout; a day is published by renaming its folder, and the next one waits
-    until both have finished with it.
+    Both queries run throughout; a part is published by renaming its folder, and the next one waits
+    until both have finished with it. Within a part the admission goes by day itself.
     """
     landing = f"{tables.root}/landing"
     storage.make_dir(session, landing)
-    admission = streams.start_admission(adlog.file_lines(session, landing), tables, _NO_PAUSE)
+    admission = streams.start_admission(adlog.file_lines(session, landing), tables, _NO_PAUSE,
+                                        daily_threshold=threshold)
     upkeep = streams.start_user_clicks(
         tables.admitted.stream(session), tables, threshold, trigger=_NO_PAUSE)
     try:
-        for day in days:
-            storage.rename(session, f"{prepared}/{day}", f"{landing}/{day}")
+        for number, part in enumerate(parts_of_days(days)):
+            folder = f"part={number:06d}"
+            storage.make_dir(session, f"{prepared}/{folder}")
+            for day in part:
+                storage.rename(session, f"{prepared}/{day}", f"{prepared}/{folder}/{day}")
+            storage.rename(session, f"{prepared}/{folder}", f"{landing}/{folder}")
             admission.processAllAvailable()
             upkeep.processAllAvailable()
     finally:

@@ -136,18 +136,30 @@ def _start_reader(clicks: DataFrame, name: str, tables: AdTables, write,
 
 def start_admission(lines: DataFrame, tables: AdTables, trigger: dict = EVERY_BATCH,
                     today: Callable[[], dt.date] = utc_day,
-                    before_millis: int = BEFORE_MILLIS) -> StreamingQuery:
+                    before_millis: int = BEFORE_MILLIS,
+                    daily_threshold: int | None = None) -> StreamingQuery:
     """Parse the log, drop the clicks of users on the blacklist, store the others.
 
     The blacklist is read anew in every micro-batch. Malformed lines are dropped and counted: the
     query's progress reports ``lines`` and ``malformed`` under ``ad_log``. Days on which clicks
     arrived, by ``today``, are closed when they are over and all readers have done with them.
+
+    A backlog may come in batches of several whole days. With ``daily_threshold`` the rule goes on
+    by day inside such a batch: a user who reaches it is barred from the next day on.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, day = batch.sparkSession, today()
         tables.admitted.close_days(spark, [tables.progress(name) for name in READERS], day)
-        barred = tables.blacklist.read(spark)
-        tables.admitted.append(ads.drop_blacklisted(batch, barred), batch_id, day)
+        clicks = ads.drop_blacklisted(batch, tables.blacklist.read(spark))
+        if daily_threshold is None:
+            tables.admitted.append(clicks, batch_id, day)
+            return
+        # Read twice, for the counts and to be stored; the lines are parsed and counted once.
+        clicks.persist()
+        try:
+            tables.admitted.append(ads.ad_clicks_admitted(clicks, daily_threshold), batch_id, day)
+        finally:
+            clicks.unpersist()
 
     return _start(parse_ad_log(lines, "ad_log", before_millis), "ad_admission", tables, write,
                   trigger, mode="append")

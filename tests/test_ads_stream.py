@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import ads
-from clickloom.registry.replay import stream_session, write_days
+from clickloom.registry.replay import parts_of_days, run_days, stream_session, write_days
 from clickloom.sources import adlog, storage
 from clickloom.streaming import clicks as streams
 from clickloom.streaming.clicks import AVAILABLE_NOW, AdTables
@@ -264,6 +264,48 @@ def test_days_are_written_in_order(spark):
     assert spark.read.text(f"{path}/day=2024-01-01").count() == 2
 
 
+def test_a_long_log_is_replayed_in_few_batches(spark, run):
+    """More days than parts; users are barred within a part, and by an earlier part."""
+    rng = random.Random(8)
+    texts = ["bad line", *(click(day, user=rng.randrange(5 * day), ad=rng.randrange(2),
+                                 second=rng.randrange(900))
+                           for day in range(1, 29) for _ in range(30))]
+    texts += [click(1, user=900)] * 3 + [click(2, user=900), click(28, user=900)]
+    log, threshold = lines(spark, *texts), 3
+    prepared = f"{run.tables.root}/prepared"
+    days = write_days(log, prepared)
+    assert len(days) == 29  # one folder for the line without a day
+    run_days(run.session, prepared, days, run.tables, threshold)
+    assert len(run.tables.admitted.entries(spark, run.tables.admitted.open_days(spark))) == 20
+    clicks = adlog.parse_ad_log(log)
+    admitted = ads.ad_clicks_admitted(clicks, threshold)
+    assert 0 < admitted.count() < clicks.count()
+    assert rows(run.tables.admitted.rows(spark)) == rows(admitted)
+    assert rows(run.tables.blacklist.rows(spark)) == rows(ads.ad_blacklist(admitted, threshold))
+    assert rows(streams.user_clicks(spark, run.tables)) == rows(
+        ads.ad_user_daily_clicks(admitted))
+
+
+@pytest.mark.parametrize("n, parts", [(0, []), (1, [1]), (20, [1] * 20), (45, [2, 2, 2, 3] * 5),
+                                      (300, [15] * 20)])
+def test_parts_hold_all_days_in_order(n, parts):
+    days = [f"day={k:04d}" for k in range(n)]
+    found = parts_of_days(days)
+    assert [day for part in found for day in part] == days
+    assert [len(part) for part in found] == parts
+
+
+def test_days_of_a_batch_are_admitted_in_order_and_lines_counted_once(spark, run):
+    (lines(run.session, *[click(1, user=1)] * 3, click(2, user=1), click(2, user=2), "bad")
+     .coalesce(1).write.text(f"{run.landing}/001"))
+    query = run._finish(streams.start_admission(
+        adlog.file_lines(run.session, run.landing), run.tables, AVAILABLE_NOW,
+        daily_threshold=3))
+    assert rows(run.tables.admitted.rows(spark).groupBy("userid").count()) == [(1, 3), (2, 1)]
+    seen = [p["observedMetrics"]["ad_log"] for p in query.recentProgress if p["observedMetrics"]]
+    assert [(m["lines"], m["malformed"]) for m in seen] == [(6, 1)]
+
+
 def test_recent_hour_carries_over_midnight_and_empty_days(spark):
     """Windows that begin on the day before their clicks, and days without any click of an ad."""
     texts = [click(day, ad=1, second=s) for day, s in (

@@ -82,6 +82,62 @@ def longest(path: str) -> int:
     return max(map(len, vocabulary(path)))
 
 
+class Trie:
+    """The pieces as a table of steps from byte to byte, for many words at a time."""
+
+    def __init__(self, pieces: dict[bytes, int]):
+        # Bytes that no longer piece holds share one column, which leads nowhere.
+        used = sorted({b for piece in pieces if len(piece) > 1 for b in piece})
+        self.column = np.full(256, len(used), dtype=np.int64)
+        self.column[used] = range(len(used))
+        self.one = np.array([pieces[bytes([b])] for b in range(256)], dtype=np.int64)
+        steps: list[dict[int, int]] = [{}]
+        number = {}
+        for piece, k in pieces.items():
+            if len(piece) > 1:
+                node = 0
+                for b in piece:
+                    node = steps[node].setdefault(b, len(steps))
+                    if node == len(steps):
+                        steps.append({})
+                number[node] = k
+        self.step = np.zeros((len(steps), len(used) + 1), dtype=np.int32)
+        for node, follow in enumerate(steps):
+            self.step[node, self.column[list(follow)]] = list(follow.values())
+        self.number = np.full(len(steps), -1, dtype=np.int64)
+        self.number[list(number)] = list(number.values())
+
+    def found(self, parts: list[bytes]) -> dict[int, list[tuple[int, np.ndarray, np.ndarray]]]:
+        """By end: width, rows of ``parts`` that have a piece of it there, and its number."""
+        lengths = np.array([len(p) for p in parts])
+        size = int(lengths.max())
+        text = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in parts),
+                             dtype=np.uint8).reshape(-1, size)
+        columns = self.column[text]
+        ends: dict[int, list] = {end: [] for end in range(1, size + 1)}
+        # From the last start to the first, so that the widths of an end are in order.
+        for start in reversed(range(size)):
+            rows = np.flatnonzero(lengths > start)
+            ends[start + 1].append((1, rows, self.one[text[rows, start]]))
+            node = self.step[0, columns[rows, start]]
+            for end in range(start + 2, size + 1):
+                on = (node > 0) & (lengths[rows] >= end)
+                rows = rows[on]
+                if not len(rows):
+                    break
+                node = self.step[node[on], columns[rows, end - 1]]
+                number = self.number[node]
+                whole = number >= 0
+                if whole.any():
+                    ends[end].append((end - start, rows[whole], number[whole]))
+        return ends
+
+
+@functools.cache
+def trie(path: str) -> Trie:
+    return Trie(vocabulary(path))
+
+
 def _longest_first(word: bytes, pieces: dict[bytes, int], most: int) -> list[int]:
     found, at = [], 0
     while at < len(word):
@@ -255,16 +311,12 @@ class Scorer:
         scale = np.zeros((len(parts), langs))
         lengths = np.array([len(p) for p in parts])
         out = np.zeros((len(parts), langs))
-        get = self.pieces.get
-        missing = len(self.model.chances)
-        chances = np.vstack([self.model.chances, np.zeros(langs)])
+        found = trie(self.model.path).found(parts)
+        chances = self.model.chances
         for end in range(1, size + 1):
             total = np.zeros((len(parts), langs))
-            for width in range(1, min(self.most, end) + 1):
-                ids = np.fromiter((get(p[end - width:end], missing) if end <= len(p) else missing
-                                   for p in parts), dtype=np.int64, count=len(parts))
-                if (ids != missing).any():
-                    total += alpha[end - width] * chances[ids]
+            for width, rows, ids in found[end]:
+                total[rows] += alpha[end - width, rows] * chances[ids]
             # Rescaled, so that long words do not underflow.
             norm = np.where(total > 0, total, 1)
             low = max(0, end - self.most)

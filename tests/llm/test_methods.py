@@ -297,3 +297,32 @@ def test_steps_follow_the_nonnegative_risk():
             step = np.eye(size + 1)[k] * 1e-5
             assert got == pytest.approx((goal(point + step) - goal(point - step)) / 2e-5, abs=1e-6)
     assert 5 < sum(signs) < 35
+
+
+def test_trie_finds_every_piece_of_every_word():
+    rng = random.Random(12)
+    pieces, most = language_id.vocabulary(PIECES), language_id.longest(PIECES)
+    inside = sorted(pieces)
+    parts = [language_id._START + b"".join(rng.choice(inside) for _ in range(rng.randint(1, 5)))
+             for _ in range(60)]
+    parts += [bytes(rng.randrange(256) for _ in range(rng.randint(1, 30))) for _ in range(60)]
+    parts += [b"a", b"\0", b"\0\0", max(inside, key=len) * 2]
+    found = {(row, end - width, end): number
+             for end, edges in language_id.trie(PIECES).found(parts).items()
+             for width, rows, numbers in edges for row, number in zip(rows, numbers)}
+    assert found == {
+        (row, end - width, end): pieces[part[end - width:end]]
+        for row, part in enumerate(parts) for end in range(1, len(part) + 1)
+        for width in range(1, min(most, end) + 1) if part[end - width:end] in pieces}
+
+
+def test_forward_sums_look_up_no_substring_by_itself(monkeypatch):
+    """A word's pieces are found for all words at once, with the sums of the slow way."""
+    pieces = language_id.vocabulary(PIECES)
+    chances = np.random.default_rng(6).random((len(pieces), 2))
+    scorer = language_id.Scorer(language_id.Model(["a", "b"], chances / chances.sum(0), PIECES))
+    words = [b"a", b"hello", "gr\u00fc\u00dfe".encode(), b"internationalisation", b"x" * 40]
+    parts = [language_id._START + w for w in words]
+    want = [scorer._forward_alone(p) for p in parts]
+    monkeypatch.setattr(scorer, "pieces", None)
+    assert np.allclose(scorer._forward(parts), want, rtol=1e-12)

@@ -32,8 +32,10 @@ END_ID = 1
 BUCKETS = 512
 # Distinct words a task remembers the ids of; beyond it, it starts over.
 CACHE_WORDS = 800_000
-# Characters split into words at a time.
+# Characters split into words at a time, of one text or of several.
 SLICE = 1 << 20
+# Plain words that are tokenised as one run.
+RUN_WORDS = 256
 # Punctuation that starts a piece of its own after a letter or digit, and ends no special token.
 _TAIL = ".,;:!?*#$%&|"
 _GAP = re.compile(r"[ \t\n\r]+")
@@ -88,14 +90,16 @@ class WordTokens:
             parts[word] = low, word[len(stem):]
         new = {x for pair in parts.values() for x in pair if x not in self.held}
         plain = [x for x in new if x.isalpha()]
-        ids = np.array(self.tokenizer.encode_batch_fast(
-            [" ".join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(ends) == len(plain):  # letters alone are one run, closed by one word end
-            start = 0
-            for word, end in zip(plain, ends.tolist()):
-                self.held[word] = ids[start:end].tobytes()
-                start = end
+        runs = [plain[k:k + RUN_WORDS] for k in range(0, len(plain), RUN_WORDS)]
+        for run, got in zip(runs, self.tokenizer.encode_batch_fast(
+                [" ".join(run) for run in runs], add_special_tokens=False)):
+            ids = np.array(got.ids, dtype="<u4")
+            ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(ends) == len(run):  # letters alone are one run, closed by one word end
+                held, start = ids.tobytes(), 0
+                for word, end in zip(run, ends.tolist()):
+                    self.held[word] = held[start:end]
+                    start = end
         rest = [x for x in new if x not in self.held]
         for word, got in zip(rest, self.tokenizer.encode_batch_fast(
                 rest, add_special_tokens=False)):
@@ -103,18 +107,49 @@ class WordTokens:
         for word, (stem, tail) in parts.items():
             self.held[word] = self.held[stem] + self.held[tail]
 
+    def _know(self, split: list[list[str]]) -> None:
+        new = set().union(*split).difference(self.held)
+        if new:
+            if len(self.held) + len(new) > CACHE_WORDS:
+                self.held = {"": b""}
+                new = set().union(*split) - {""}
+            self._learn(list(new))
+
+    def of_texts(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of one text after the other; new words of short texts are learned together."""
+        split: list[list[str]] = []  # words of each slice
+        last: list[bool] = []  # whether it is the last one of its text
+        done: list[bytes] = []  # what there is of a text that goes on
+        size = 0
+
+        def joined():
+            self._know(split)
+            for words, ends in zip(split, last):
+                done.append(b"".join(map(self.held.__getitem__, words)))
+                if ends:
+                    yield b"".join(done)
+                    done.clear()
+            split.clear()
+            last.clear()
+
+        for text in texts:
+            for part in self._slices(text):
+                split.append(part.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+                             .split(" "))
+                last.append(False)
+                size += len(part)
+                if size >= SLICE:
+                    yield from joined()
+                    size = 0
+            if last:
+                last[-1] = True
+            else:
+                yield b"".join(done)
+                done.clear()
+        yield from joined()
+
     def ids(self, text: str) -> bytes:
-        out = []
-        for part in self._slices(text):
-            words = part.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            new = [w for w in set(words) if w not in self.held]
-            if new:
-                if len(self.held) + len(new) > CACHE_WORDS:
-                    self.held = {"": b""}
-                    new = list(set(words) - {""})
-                self._learn(new)
-            out.append(b"".join(map(self.held.__getitem__, words)))
-        return b"".join(out)
+        return next(self.of_texts([text]))
 
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -131,8 +166,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS,
         tokens = WordTokens(tokenizer)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                ids = tokens.ids(text.as_py() or "") + end
+            texts = (text.as_py() or "" for text in batch["text"])
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokens.of_texts(texts)):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), width)):
                     piece = ids[at:at + width]
                     rows.append((doc_id, k, at // 4, len(piece) // 4, zlib.crc32(piece)))

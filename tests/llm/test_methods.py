@@ -326,3 +326,24 @@ def test_forward_sums_look_up_no_substring_by_itself(monkeypatch):
     want = [scorer._forward_alone(p) for p in parts]
     monkeypatch.setattr(scorer, "pieces", None)
     assert np.allclose(scorer._forward(parts), want, rtol=1e-12)
+
+
+def test_words_of_several_texts_are_learned_together(monkeypatch):
+    whole = packing._tokenizer(TOKENS)
+    texts = ["", "One two, three.", "two Three\tfour\r\n", " ", "na\u00efve \u6f22\u5b57 caf\u00e9s!",
+             "abc123 <|endoftext|> x_y", *(f"word{chr(97 + k % 26)}{chr(97 + k // 26)} and more"
+                                          for k in range(300))]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+    def ids(tokens):
+        return [np.frombuffer(b, dtype="<u4").tolist() for b in tokens.of_texts(texts)]
+
+    tokens, calls = packing.WordTokens(TOKENS), []
+    learn = tokens._learn
+    monkeypatch.setattr(tokens, "_learn", lambda words: (calls.append(len(words)), learn(words)))
+    assert ids(tokens) == want
+    assert len(calls) == 1
+    # Slices and the bound on held words cut anywhere, also within a text.
+    monkeypatch.setattr(packing, "SLICE", 7)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 5)
+    assert ids(packing.WordTokens(TOKENS)) == want

@@ -17,10 +17,12 @@ def components(edges: DataFrame) -> DataFrame:
     Every round each node takes the smallest label around it, and then the label that this label
     has itself, so paths shorten by half. Labels are written to the shared folder after each
     round, which cuts the lineage. Both joins are on the node, where Spark can split a hub, and
-    labels are pre-aggregated before they are exchanged.
+    labels are pre-aggregated before they are exchanged. The edges are computed once: those of a
+    spanning tree may be others the next time, and then their two directions would not match.
     """
+    edges = materialize(edges.select("a", "b"), "links")
     both = materialize(
-        edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
+        edges.union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
     labels = materialize(both.groupBy(F.col("a").alias("node"))
                          .agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     for _ in range(MAX_ROUNDS):

@@ -4,13 +4,28 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clickloom.llm import (
     decontaminate, html_extract, language_id, near_dedup, packing, secret_scan, toxicity)
+from clickloom.llm.components import components
 from tests.llm.test_small_tables import PIECES, TOKENS
 
 
+def test_components_of_edges_that_turn_round_when_computed_again(spark):
+    """As those of a spanning tree may, which depends on the order in which rows arrive."""
+    def turned(batches):
+        for batch in batches:
+            for a in batch["id"].to_pylist():
+                pair = random.SystemRandom().sample([2 * a, 2 * a + 1], 2)
+                yield pa.RecordBatch.from_pydict({"a": pair[:1], "b": pair[1:]})
+
+    edges = spark.range(200).mapInArrow(turned, "a long, b long")
+    found = {(r.node, r.component) for r in components(edges).collect()}
+    assert found == {(k, k - k % 2) for k in range(400)}
+
+
 def test_near_duplicates_equal_all_pairs(docs):
     rng = random.Random(5)
     base = [[f"w{rng.randrange(400)}" for _ in range(90)] for _ in range(12)]

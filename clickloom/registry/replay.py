@@ -44,11 +44,31 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _with_day(lines: DataFrame) -> DataFrame:
+    millis = F.get(F.split("value", " "), F.lit(0)).try_cast("long")
+    return lines.select("value", F.to_date(F.timestamp_millis(millis)).alias("day"))
+
+
 def write_days(lines: DataFrame, path: str) -> list[str]:
     """Store log lines as text files, one folder per day; returns the folders in day order."""
-    millis = F.get(F.split("value", " "), F.lit(0)).try_cast("long")
-    days = lines.select("value", F.to_date(F.timestamp_millis(millis)).alias("day"))
-    days.hint("rebalance", "day").write.partitionBy("day").text(path)
+    _with_day(lines).hint("rebalance", "day").write.partitionBy("day").text(path)
+    return storage.child_dirs(lines.sparkSession, path)
+
+
+def write_parts(lines: DataFrame, path: str, most: int = _PARTS) -> list[str]:
+    """Store log lines in at most ``most`` folders; returns the folders in day order.
+
+    A folder holds whole days, one after the other, and about as many lines as any other, unless
+    days are longer than that. Lines without a day are in the first one.
+    """
+    day = F.unix_date("day")
+    days = _with_day(lines)
+    shares = [k / most for k in range(1, most)]
+    bounds = days.agg(F.percentile_approx(day, shares).alias("b")).first()["b"] or []
+    bounds = F.array(*map(F.lit, sorted(set(bounds)))).cast("array<int>")
+    number = F.size(F.filter(bounds, lambda bound: bound < day))
+    (days.select("value", F.format_string("%06d", number).alias("part"))
+     .hint("rebalance", "part").write.partitionBy("part").text(path))
     return storage.child_dirs(lines.sparkSession, path)
 
 
@@ -58,9 +78,9 @@ def parts_of_days(days: list[str], most: int = _PARTS) -> list[list[str]]:
     return [days[k * len(days) // n:(k + 1) * len(days) // n] for k in range(n)]
 
 
-def run_days(session: SparkSession, prepared: str, days: list[str], tables: AdTables,
-             threshold: int) -> None:
-    """Hand one part of the days after the other to the admission and to the blacklist upkeep.
+def run_parts(session: SparkSession, prepared: str, parts: list[str], tables: AdTables,
+              threshold: int) -> None:
+    """Hand one folder of days after the other to the admission and to the blacklist upkeep.
 
     Both queries run throughout; a part is published by renaming its folder, and the next one waits
     until both have finished with it. Within a part the admission goes by day itself.
@@ -72,11 +92,7 @@ def run_days(session: SparkSession, prepared: str, days: list[str], tables: AdTa
     upkeep = streams.start_user_clicks(
         tables.admitted.stream(session), tables, threshold, trigger=_NO_PAUSE)
     try:
-        for number, part in enumerate(parts_of_days(days)):
-            folder = f"part={number:06d}"
-            storage.make_dir(session, f"{prepared}/{folder}")
-            for day in part:
-                storage.rename(session, f"{prepared}/{day}", f"{prepared}/{folder}/{day}")
+        for folder in parts:
             storage.rename(session, f"{prepared}/{folder}", f"{landing}/{folder}")
             admission.processAllAvailable()
             upkeep.processAllAvailable()
@@ -85,6 +101,18 @@ def run_days(session: SparkSession, prepared: str, days: list[str], tables: AdTa
         upkeep.stop()
 
 
+def run_days(session: SparkSession, prepared: str, days: list[str], tables: AdTables,
+             threshold: int) -> None:
+    """:func:`run_parts` for a log that is stored in a folder for each day."""
+    folders = []
+    for number, part in enumerate(parts_of_days(days)):
+        folders.append(f"part={number:06d}")
+        storage.make_dir(session, f"{prepared}/{folders[-1]}")
+        for day in part:
+            storage.rename(session, f"{prepared}/{day}", f"{prepared}/{folders[-1]}/{day}")
+    run_parts(session, prepared, folders, tables, threshold)
+
+
 def ad_stream(spark: SparkSession, sf_dir: str, threshold: int, start=None) -> AdTables:
     """Tables of the replayed ad stream, after ``start`` has run over the admitted clicks too.
 
@@ -96,8 +124,8 @@ def ad_stream(spark: SparkSession, sf_dir: str, threshold: int, start=None) -> A
         session = stream_session(spark, size)
         tables = AdTables(storage.new_run_dir(spark, "ad-stream")).create(session)
         prepared = f"{tables.root}/prepared"
-        days = write_days(testdata.ad_lines(session, sf_dir), prepared)
-        run_days(session, prepared, days, tables, threshold)
+        parts = write_parts(testdata.ad_lines(session, sf_dir), prepared)
+        run_parts(session, prepared, parts, tables, threshold)
         _replays[key] = tables
     tables = _replays[key]
     if start and (*key, start) not in _replays:

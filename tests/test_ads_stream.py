@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import ads
-from clickloom.registry.replay import parts_of_days, run_days, stream_session, write_days
+from clickloom.registry.replay import (
+    parts_of_days, run_days, run_parts, stream_session, write_days, write_parts)
 from clickloom.sources import adlog, storage
 from clickloom.streaming import clicks as streams
 from clickloom.streaming.clicks import AVAILABLE_NOW, AdTables
@@ -286,6 +287,30 @@ def test_a_long_log_is_replayed_in_few_batches(spark, run):
         ads.ad_user_daily_clicks(admitted))
 
 
+def test_a_log_of_many_days_is_stored_in_few_folders(spark, run):
+    """Whole days in order, a long day, lines without a day; nothing is moved day by day."""
+    texts = ["bad line", *[click(3, user=1)] * 200,
+             *(click(day, user=day % 5, ad=k % 2, second=k) for day in range(1, 29)
+               for k in range(9))]
+    log, threshold = lines(spark, *texts), 3
+    prepared = f"{run.tables.root}/prepared"
+    parts = write_parts(log, prepared, 6)
+    assert 3 <= len(parts) <= 6
+    held = [[r.value for r in spark.read.text(f"{prepared}/{part}").collect()] for part in parts]
+    assert sorted(line for part in held for line in part) == sorted(texts)
+    days = [sorted({int(line.split()[0]) // 86400000 for line in part if line != "bad line"})
+            for part in held]
+    assert all(a[-1] < b[0] for a, b in zip(days, days[1:])) and sum(map(len, days)) == 28
+    run_parts(run.session, prepared, parts, run.tables, threshold)
+    admitted = ads.ad_clicks_admitted(adlog.parse_ad_log(log), threshold)
+    assert rows(run.tables.admitted.rows(spark)) == rows(admitted)
+    assert rows(run.tables.blacklist.rows(spark)) == rows(ads.ad_blacklist(admitted, threshold))
+
+
+def test_an_empty_log_has_no_parts(spark, run):
+    assert write_parts(lines(spark, "x").limit(0), f"{run.tables.root}/prepared") == []
+
+
 @pytest.mark.parametrize("n, parts", [(0, []), (1, [1]), (20, [1] * 20), (45, [2, 2, 2, 3] * 5),
                                       (300, [15] * 20)])
 def test_parts_hold_all_days_in_order(n, parts):

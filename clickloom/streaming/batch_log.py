@@ -120,9 +120,12 @@ class BatchLog:
     def _write(self, rows: DataFrame, batch_id: int, level: int) -> tuple[dict, int]:
         """A run that nobody reads yet, and how many rows it has."""
         folder = f"{BATCH}={batch_id}/run={uuid.uuid4().hex}"
-        written = Observation()
-        writer = (rows.select(self.schema.names)
-                  .observe(written, F.count(F.lit(1)).alias("rows")).write)
+        rows, written = rows.select(self.schema.names), Observation()
+        if self.by:
+            # Files cost time, so a day goes to one task unless it is large, and many days to many.
+            rows = rows.hint("rebalance", rows.sparkSession.sparkContext.defaultParallelism,
+                             *self.by)
+        writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write
         (writer.partitionBy(*self.by) if self.by else writer).parquet(f"{self.path}/{folder}")
         days = [d.split("=", 1)[1] for d in storage.child_dirs(rows.sparkSession,
                                                                f"{self.path}/{folder}")]
@@ -135,7 +138,6 @@ class BatchLog:
                                              self.fan)) is not None:
             old = [r for r in state["runs"] if r["level"] == level]
             rows = self.resolve(self._of(spark, old))
-            rows = rows.hint("rebalance", *self.by) if self.by else rows
             run, _ = self._write(rows, max(r["last"] for r in old), level + 1)
             version, state = version + 1, state | {
                 "runs": [*(r for r in state["runs"] if r["level"] != level), run],

@@ -79,7 +79,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return secret_scan.find_secrets(docs).select(
+    return secret_scan.find_secrets(docs, texts=False).select(
         "doc_id", "n_assign", "n_access", "n_hex",
         F.sha2(secret_scan.span_text("base"), 256).alias("base_sha256"),
         secret_scan.span_text("secrets").alias("spans"))
